@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_classifier
+from . import ngram_join, quality_classifier
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,9 +18,29 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score_quality(docs, quality_classifier.fit_quality(docs, table(spark, sf_dir, "labels")))
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_pairs(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_ngram_jaccard_join": r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9\x{80}-\x{10ffff}]+') AS t FROM documents WHERE doc_id IS NOT NULL
+), sets AS (
+  SELECT doc_id, CASE WHEN len(t) < 3 THEN [array_to_string(t, ' ')] ELSE list_distinct([array_to_string(t[i:i+2], ' ') for i in range(1, len(t) - 1)]) END AS s
+  FROM words WHERE len(t) > 0
+), grams AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets
+), pairs AS (
+  SELECT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b, a.n AS na, b.n AS nb, count(*) AS o
+  FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+)
+SELECT doc_id_a, doc_id_b, round(o / (na + nb - o), 6) AS jaccard FROM pairs WHERE o / (na + nb - o) >= 0.5
+""",
+}

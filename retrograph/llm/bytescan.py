@@ -28,6 +28,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _WORD = np.zeros(256, dtype=bool)
 _WORD[48:58] = _WORD[65:91] = _WORD[97:123] = _WORD[128:] = True
+_KIND = np.where(_WORD, 1, 2).astype(np.uint8)
+_KIND[[9, 10, 11, 12, 13, 32]] = 0
 
 
 class _Powers:
@@ -113,21 +115,20 @@ def span_hash(running: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
 
 
 class Words:
-    """Words of a chunk: byte spans, 64-bit hashes and the offsets of each row's words."""
+    """Words of a chunk: byte spans, 64-bit hashes and the offsets of each row's words.
 
-    def __init__(self, raw: np.ndarray, at: np.ndarray, fold: bool = True) -> None:
+    With ``marks`` runs of other characters than white space count as words too.
+    """
+
+    def __init__(self, raw: np.ndarray, at: np.ndarray, fold: bool = True, marks: bool = False) -> None:
         self.raw, self.at = raw, at
-        inside = _WORD[raw]
-        first = np.zeros(len(raw) + 1, dtype=bool)
-        first[at] = True
-        before = np.empty_like(inside)
-        before[:1] = False
-        before[1:] = inside[:-1]
-        self.start = np.flatnonzero(inside & (~before | first[:-1]))
-        after = np.empty_like(inside)
-        after[-1:] = False
-        after[:-1] = inside[1:]
-        self.end = np.flatnonzero(inside & (~after | first[1:])) + 1
+        kind = (_KIND if marks else _WORD)[raw]
+        new = np.ones(len(raw) + 1, dtype=bool)
+        new[1:-1] = kind[1:] != kind[:-1]
+        new[at] = True
+        inside = kind != 0
+        self.start = np.flatnonzero(inside & new[:-1])
+        self.end = np.flatnonzero(inside & new[1:]) + 1
         self.hash = span_hash(prefix_hash(lower(raw) if fold else raw), self.start, self.end)
         self.offset = np.searchsorted(self.start, at)
 
@@ -139,10 +140,10 @@ class Words:
         """Hashes and row offsets of the word n-grams that lie within one row."""
         count = np.maximum(np.diff(self.offset) - (n - 1), 0)
         offset = np.concatenate(([0], np.cumsum(count)))
-        pick = np.arange(offset[-1]) + np.repeat(self.offset[:-1] - offset[:-1], count)
         h = self.hash
         if n == 1:
-            return h[pick], offset
+            return h, offset
+        pick = np.arange(offset[-1]) + np.repeat(self.offset[:-1] - offset[:-1], count)
         total = np.zeros(max(len(h) - n + 1, 0), dtype=np.uint64)
         for k in range(n):
             total += h[k : k + len(total)] * _U((0xD6E8FEB86659FD93 * (2 * k + 3)) % 2**64)

@@ -170,3 +170,13 @@ def row_sums(values: np.ndarray, offset: np.ndarray) -> np.ndarray:
     """Sum of each row's values; rows without values give zero."""
     running = np.concatenate(([0.0], np.cumsum(values, dtype=np.float64)))
     return running[offset[1:]] - running[offset[:-1]]
+
+
+def count_words(raw: np.ndarray, at: np.ndarray, marks: bool = False) -> np.ndarray:
+    """Number of words of each row, as ``Words`` would find them, without hashing."""
+    kind = (_KIND if marks else _WORD)[raw]
+    new = np.ones(len(raw), dtype=bool)
+    new[1:] = kind[1:] != kind[:-1]
+    new[at[at < len(raw)]] = True
+    running = np.concatenate(([0], np.cumsum(new & (kind != 0))))
+    return running[at[1:]] - running[at[:-1]]

@@ -77,8 +77,8 @@ def keep_rows(df: DataFrame, text: str, make: Callable[[], Callable[[pa.Array],
     return map_arrow(df, maker, df.schema)
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, limit: int, seed: int = 7) -> tuple[pa.Array, np.ndarray]:
-    """Texts and 0/1 labels of at most ``limit`` labelled documents, half of each class where there are so many.
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, limit: int, seed: int = 7, share: float = 0.5) -> tuple[pa.Array, np.ndarray]:
+    """Texts and 0/1 labels of at most ``limit`` labelled documents, ``share`` of them of class 1 where there are so many.
 
     The rows with the least hash of doc_id are taken, so the sample does not
     depend on partitioning.  Repeated label rows of a document count once, with
@@ -89,7 +89,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, limit: int,
     order = F.xxhash64("__id", F.lit(seed))
     picked = None
     for y in (0, 1):
-        part = known.where(F.col("__y") == y).orderBy(order, "__id").limit(limit // 2)
+        part = known.where(F.col("__y") == y).orderBy(order, "__id").limit(round(limit * (share if y else 1 - share)))
         picked = part if picked is None else picked.union(part)
     texts = docs.select(F.col("doc_id").alias("__doc"), F.col("text").alias("__text"))
     rows = texts.join(F.broadcast(picked), F.col("__doc") == F.col("__id")).select("__id", "__text", "__y").toArrow()

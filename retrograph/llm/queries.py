@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import lm_scoring, ngram_join, packing, quality_classifier, quality_rules, toxicity
+from . import bpe, lm_scoring, ngram_join, packing, quality_classifier, quality_rules, token_shards, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op3_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_shards.write_shards(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_classifier.score_quality(docs, quality_classifier.fit_quality(docs, table(spark, sf_dir, "labels")))
@@ -26,6 +30,10 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_pairs(table(spark, sf_dir, "documents"))
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return lm_scoring.score_lm(docs, lm_scoring.fit_lm(docs))
@@ -43,8 +51,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op3_token_shards": op3_token_shards,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op6_byte_bpe": op6_byte_bpe,
     "op8_lm_scoring": op8_lm_scoring,
     "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, lm_scoring, ngram_join, packing, quality_classifier, quality_rules, token_shards, toxicity
+from . import bpe, chat, lm_scoring, ngram_join, packing, quality_classifier, quality_rules, tiff, token_shards, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op3_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_shards.write_shards(table(spark, sf_dir, "documents"))
 
@@ -34,6 +38,11 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_tiff_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables hold no media, so every web page becomes a TIFF file first."""
+    return tiff.decode_media(tiff.media_of(table(spark, sf_dir, "pages")))
+
+
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return lm_scoring.score_lm(docs, lm_scoring.fit_lm(docs))
@@ -51,10 +60,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_chat_formatting": op2_chat_formatting,
     "op3_token_shards": op3_token_shards,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_tiff_pages": op7_tiff_pages,
     "op8_lm_scoring": op8_lm_scoring,
     "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
@@ -62,6 +73,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: DuckDB SQL for the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {
+    "op2_chat_formatting": r"""
+WITH m AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS body,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k
+  FROM conversations WHERE conv_id IS NOT NULL
+), p AS (
+  SELECT conv_id, k, role, '<|im_start|>' || role || chr(10) AS head, body || '<|im_end|>' AS tail FROM m
+), q AS (
+  SELECT *, coalesce(sum(length(head) + length(tail) + 1) OVER (PARTITION BY conv_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(head) AS s FROM p
+)
+SELECT conv_id, CAST(count(*) AS INTEGER) AS n_messages, string_agg(head || tail || chr(10), '' ORDER BY k) AS text,
+       coalesce(list(CAST(s AS INTEGER) ORDER BY k) FILTER (WHERE role = 'assistant'), []) AS starts,
+       coalesce(list(CAST(s + length(tail) AS INTEGER) ORDER BY k) FILTER (WHERE role = 'assistant'), []) AS ends
+FROM q GROUP BY conv_id
+""",
     "op5_ngram_jaccard_join": r"""
 WITH words AS (
   SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9\x{80}-\x{10ffff}]+') AS t FROM documents WHERE doc_id IS NOT NULL

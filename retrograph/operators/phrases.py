@@ -27,7 +27,8 @@ PIECE = ["id", "source_text", "target_text", "pair_score", "source_count", "targ
 
 
 def quality(pair_score: Column, source_count: Column, target_count: Column) -> Column:
-    return pair_score + F.log(source_count + 1) + F.log(target_count + 1)
+    """Rounded, so that equal counts on swapped sides are a tie and not a matter of the last bit."""
+    return F.round(pair_score + F.log(source_count + 1) + F.log(target_count + 1), 9)
 
 
 def filter_pieces(pieces: DataFrame, policy: PhrasePolicy = PhrasePolicy()) -> DataFrame:

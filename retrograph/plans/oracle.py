@@ -116,7 +116,7 @@ def fragment(text: str, lang: str, p: float) -> str:
 def pieces(policy: PhrasePolicy) -> str:
     """A query for the usable pieces from ``pieces_in``, with ranks."""
     return f"""SELECT *, row_number() OVER (ORDER BY quality DESC, id) AS piece_rank FROM (
-SELECT *, pair_score + ln(source_count + 1) + ln(target_count + 1) AS quality FROM pieces_in WHERE source_norm_key = reverse(target_norm_key)
+SELECT *, round(pair_score + ln(source_count + 1) + ln(target_count + 1), 9) AS quality FROM pieces_in WHERE source_norm_key = reverse(target_norm_key)
 AND source_count >= {policy.min_source_count} AND target_count >= {policy.min_target_count} AND pair_score >= {policy.min_pair_score}
 AND source_n <= {policy.max_source_n} AND target_n <= {policy.max_target_n}) ORDER BY quality DESC, id LIMIT {policy.piece_limit}"""
 

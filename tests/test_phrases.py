@@ -25,7 +25,7 @@ def brute(rows, p):
     items = [dict(zip(names, r, strict=True)) for r in rows]
     items = [i for i in items if i["source_norm_key"] == i["target_norm_key"][::-1] and i["source_count"] >= p.min_source_count and i["target_count"] >= p.min_target_count and i["pair_score"] >= p.min_pair_score and i["source_n"] <= p.max_source_n and i["target_n"] <= p.max_target_n]
     lg = lambda x: math.log(x + 1)
-    items.sort(key=lambda i: -(i["pair_score"] + lg(i["source_count"]) + lg(i["target_count"])))
+    items.sort(key=lambda i: -round(i["pair_score"] + lg(i["source_count"]) + lg(i["target_count"]), 9))
     items = items[: p.piece_limit]
 
     def ends(words, lang):

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from . import bytescan, common
 
 RANKS = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 3_000_000
 #: States the transducer holds before it starts anew.
 MAX_STATES = 100_000
 
@@ -191,9 +191,18 @@ class Transducer:
         #: A state's runs: tokens not emitted yet, the last token, the place in the trie.
         self.runs: list[tuple[tuple[tuple[int, ...], int, int], ...]] = [(((), -1, 0),)]
         self.known = {self.runs[0]: 0}
-        self.last: list[tuple[int, ...]] = [()]
+        #: Tokens that end a piece with this byte in this state; what lies beyond an end needs no state.
+        self.end: dict[int, tuple[int, ...]] = {}
         self.next: dict[int, tuple[int, tuple[int, ...]]] = {}
 
+    def _fits(self, last: int, token: int) -> bool:
+        if last < 0:
+            return True
+        fits = self.fit.get((last, token))
+        if fits is None:
+            fits = self.fit[last, token] = self.v.fits(last, token)
+        return fits
+
     def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         v, alive, whole = self.v, [], None
         for held, last, node in self.runs[state]:
@@ -203,12 +212,8 @@ class Transducer:
             if v.inner[child]:
                 alive.append((held, last, child))
             token = v.accept[child]
-            if token >= 0 and whole is None:
-                fits = last < 0 or self.fit.get((last, token))
-                if fits is None:
-                    fits = self.fit[last, token] = v.fits(last, token)
-                if fits:
-                    whole = ((*held, token), token, 0)
+            if token >= 0 and whole is None and self._fits(last, token):
+                whole = ((*held, token), token, 0)
         if whole is None:
             raise ValueError(f"the vocabulary can't express byte {byte}")
         alive.append(whole)
@@ -220,22 +225,33 @@ class Transducer:
         if new is None:
             new = self.known[runs] = len(self.runs)
             self.runs.append(runs)
-            self.last.append(whole[0][k:])
         self.next[state << 8 | byte] = out = (new, whole[0][:k])
         return out
 
+    def _finish(self, state: int, byte: int) -> tuple[int, ...]:
+        v = self.v
+        for held, last, node in self.runs[state]:
+            child = v.trie.get(node << 8 | byte)
+            if child is not None and v.accept[child] >= 0 and self._fits(last, v.accept[child]):
+                found = self.end[state << 8 | byte] = (*held, v.accept[child])
+                return found
+        raise ValueError(f"the vocabulary can't express byte {byte}")
+
     def encode(self, word: bytes) -> list[int]:
-        if len(self.runs) > MAX_STATES:
+        if len(self.runs) > MAX_STATES or len(self.end) > 8 * MAX_STATES:
             self._clear()
         state, out, known = 0, [], self.next
-        for byte in word:
+        if not word:
+            return out
+        for byte in word[:-1]:
             found = known.get(state << 8 | byte)
             if found is None:
                 found = self._step(state, byte)
             state, emit = found
             if emit:
                 out += emit
-        out += self.last[state]
+        last = self.end.get(state << 8 | word[-1])
+        out += self._finish(state, word[-1]) if last is None else last
         return out
 
 

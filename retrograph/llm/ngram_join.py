@@ -73,11 +73,20 @@ def _six(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
 
 
-def _pack(keys: np.ndarray, counts: np.ndarray, tokens: np.ndarray, extra: np.ndarray | None = None) -> bytes:
-    """One blob: number of documents and n-grams, document keys, n-grams of each, n-grams, and a number for each."""
-    parts = [np.array([len(keys), len(tokens), extra is not None], "<i8"), keys.astype("<i8"), counts.astype("<i4"), _six(tokens)]
-    if extra is not None:
-        parts.append(extra.astype("<i4"))
+def _numbers(data: memoryview | pa.Buffer, count: int, at: int = 0) -> np.ndarray:
+    """Numbers that were written by ``_six``."""
+    wide = np.zeros((count, 8), np.uint8)
+    wide[:, :6] = np.frombuffer(data, np.uint8, 6 * count, at).reshape(count, 6)
+    return wide.view("<u8").ravel()
+
+
+def _pack(keys: np.ndarray, counts: np.ndarray, tokens: np.ndarray, level: np.ndarray | None = None, size: np.ndarray | None = None) -> bytes:
+    """One blob: document keys, n-grams of each, n-grams, and a level of each n-gram or a size of each document."""
+    parts = [np.array([len(keys), len(tokens), 1 if level is not None else 2 if size is not None else 0], "<i8"), keys.astype("<i8"), counts.astype("<i4"), _six(tokens)]
+    if level is not None:
+        parts.append(level.astype("u1"))
+    elif size is not None:
+        parts.append(size.astype("<i4"))
     return b"".join(p.tobytes() for p in parts)
 
 
@@ -88,21 +97,21 @@ def _unpack(blob: memoryview) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     at += 8 * m
     counts = np.frombuffer(blob, "<i4", m, at)
     at += 4 * m
-    tokens = np.zeros((n, 8), np.uint8)
-    tokens[:, :6] = np.frombuffer(blob, np.uint8, 6 * n, at).reshape(n, 6)
+    tokens = _numbers(blob, n, at)
     at += 6 * n
-    return keys, counts, tokens.view("<u8").ravel(), np.frombuffer(blob, "<i4", n, at) if more else None
+    return keys, counts, tokens, np.frombuffer(blob, "u1", n, at) if more == 1 else np.frombuffer(blob, "<i4", m, at) if more else None
 
 
-def _split(part: np.ndarray, parts: int, doc: np.ndarray, keys: np.ndarray, tokens: np.ndarray, extra: np.ndarray | None = None) -> Iterator[tuple[int, bytes]]:
-    """Pack n-grams (in order of document) by part."""
+def _split(part: np.ndarray, parts: int, doc: np.ndarray, keys: np.ndarray, tokens: np.ndarray, level: np.ndarray | None = None, size: np.ndarray | None = None) -> Iterator[tuple[int, bytes]]:
+    """Pack n-grams (in order of document) by part; ``level`` goes by n-gram, ``size`` by document."""
     order = np.argsort(part.astype(np.uint16 if parts <= 65536 else np.int64), kind="stable")
     ends = np.cumsum(np.bincount(part, minlength=parts))
     for p in np.flatnonzero(np.diff(np.concatenate(([0], ends)))):
         at = order[ends[p - 1] if p else 0 : ends[p]]
         d = doc[at]
         first = np.flatnonzero(np.concatenate(([True], d[1:] != d[:-1])))
-        yield int(p), _pack(keys[d[first]], np.diff(np.concatenate((first, [len(d)]))), tokens[at], None if extra is None else extra[at])
+        own = d[first]
+        yield int(p), _pack(keys[own], np.diff(np.concatenate((first, [len(d)]))), tokens[at], None if level is None else level[at], None if size is None else size[own])
 
 
 def _range(tokens: np.ndarray, parts: int) -> np.ndarray:
@@ -116,7 +125,7 @@ def _blobs(column: pa.ChunkedArray) -> Iterator[memoryview]:
 
 
 def _gather(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray | None]:
-    """Blobs of a group as one: document keys, n-grams of each, n-grams, numbers."""
+    """Blobs of a group as one: document keys, n-grams of each, n-grams, levels or sizes."""
     found = [_unpack(b) for b in _blobs(column)]
     extra = None if not found or found[0][3] is None else np.concatenate([f[3] for f in found])
     return tuple(np.concatenate([f[i] for f in found]) for i in range(3)) + (extra,)
@@ -172,7 +181,11 @@ def _explode_sets(docs: DataFrame, n: int, parts: int) -> DataFrame:
 
 
 def _count_shared(packed: DataFrame, parts: int) -> DataFrame:
-    """N-grams that occur in several documents, with their document frequency, by document key."""
+    """N-grams that occur in several documents, with the level of their document frequency, by document key.
+
+    A level is an eighth of a doubling, a byte instead of a number; orders by
+    level and hash are the same for all documents, which is all the prefix needs.
+    """
 
     def run(group: pa.Table) -> pa.Table:
         if group["kind"][0].as_py() == 1:
@@ -193,7 +206,8 @@ def _count_shared(packed: DataFrame, parts: int) -> DataFrame:
         back = np.lexsort((tokens[at], doc[at]))
         at, df = at[back], df[back]
         home = (keys.astype(np.uint64) % np.uint64(parts)).astype(np.int64)
-        return _rows([(p, 0, b) for p, b in _split(home[doc[at]], parts, doc[at], keys, tokens[at], df)])
+        level = np.minimum(8 * np.log2(df), 255)
+        return _rows([(p, 0, b) for p, b in _split(home[doc[at]], parts, doc[at], keys, tokens[at], level)])
 
     return packed.groupBy("part").applyInArrow(run, _PACKED)
 
@@ -224,7 +238,7 @@ def _ordered_sets(shared: DataFrame, threshold: float) -> DataFrame:
                 out["doc_id"].append(int(known[1, i]))
                 out["size"].append(size)
                 out["prefix"].append(max(0, size - int(least[i]) + 1 - (size - len(own))))
-                out["tokens"].append(own.astype("<u8").tobytes())
+                out["tokens"].append(_six(own).tobytes())
         return pa.table([pa.array(out["key"], pa.int64()), pa.array(out["doc_id"], pa.int64()), pa.array(out["size"], pa.int32()), pa.array(out["prefix"], pa.int32()), pa.array(out["tokens"], pa.binary())], list(out))
 
     return shared.groupBy("part").applyInArrow(run, "key bigint, doc_id bigint, size int, prefix int, tokens binary")
@@ -238,15 +252,15 @@ def _links(sets: DataFrame, threshold: float, parts: int) -> DataFrame:
             if not batch.num_rows:
                 continue
             keys, size, prefix = (np.asarray(batch.column(i)) for i in (0, 1, 2))
-            own = [np.frombuffer(x.as_buffer(), "<u8", p) for x, p in zip(batch.column(3), prefix, strict=True)]
+            own = [_numbers(x.as_buffer(), p) for x, p in zip(batch.column(3), prefix, strict=True)]
             tokens = np.concatenate(own)
             doc = np.repeat(np.arange(len(keys)), prefix)
-            yield from _rows([(p, 0, b) for p, b in _split(_range(tokens, parts), parts, doc, keys, tokens, size[doc])]).to_batches()
+            yield from _rows([(p, 0, b) for p, b in _split(_range(tokens, parts), parts, doc, keys, tokens, size=size)]).to_batches()
 
     def link(group: pa.Table) -> pa.Table:
         keys, count, tokens, size = _gather(group["blob"])
         names, own = np.unique(keys, return_inverse=True)
-        doc = np.repeat(own, count)
+        doc, size = np.repeat(own, count), np.repeat(size, count)
         order = np.lexsort((doc, size, tokens))
         doc, tokens, size = doc[order], tokens[order], size[order]
         near = (tokens[1:] == tokens[:-1]) & (size[:-1] >= threshold * size[1:] - 1e-9)
@@ -360,6 +374,8 @@ def _joined(sets: DataFrame, roots: DataFrame, threshold: float, parts: int, for
     sized = roots.select("root", F.col("root").alias("key")).distinct().union(roots.select("root", F.col("node").alias("key")))
     sized = sized.withColumn("blocks", F.ceil(F.count("*").over(Window.partitionBy("root")) / BLOCK).cast("int"))
     task = F.expr("explode(flatten(transform(sequence(0, blocks - 1), k -> array(struct(least(k, mine) AS i, greatest(k, mine) AS j)))))")
+    if sized.count() <= BROADCAST_IDS:
+        sized = F.broadcast(sized)
     routed = sets.join(sized, "key").withColumn("mine", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")).withColumn("task", task)
     routed = routed.select("key", "doc_id", "size", "tokens", "root", "mine", "task.i", "task.j")
     routed = routed.withColumn("part", F.pmod(F.xxhash64("root", "i", "j"), F.lit(parts)).cast("int"))
@@ -374,7 +390,7 @@ def _joined(sets: DataFrame, roots: DataFrame, threshold: float, parts: int, for
         for s, e in zip(edge[:-1], edge[1:], strict=True):
             if e - s < 2:
                 continue
-            own = [np.frombuffer(b, "<u8") for b in blobs[s:e]]
+            own = [_numbers(b, b.size // 6) for b in blobs[s:e]]
             _, code = np.unique(np.concatenate(own), return_inverse=True)
             own = [np.sort(x) for x in np.split(code, np.cumsum([len(x) for x in own])[:-1])]
             a, b, o = join_block(size[s:e], own, threshold)
@@ -422,4 +438,4 @@ def drop_near_duplicates(docs: DataFrame, n: int = N, threshold: float = THRESHO
     gone = duplicate_groups(docs, n, threshold).select(F.col("node").alias("__gone"))
     if gone.count() <= BROADCAST_IDS:
         gone = F.broadcast(gone)
-    return docs.join(gone, docs["doc_id"].cast("bigint") == F.col("__gone"), "left_anti")
+    return docs.join(gone, docs["doc_id"].cast("bigint") == gone["__gone"], "left_anti")

@@ -26,7 +26,7 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents at or above the log-ratio threshold."""
-    return quality_rules.filter_rules(docs, quality_rules.fit_rules(docs, _labels(spark, sf_dir)))
+    return quality_rules.filter_rules(docs, quality_rules.fit_rules(docs, _labels(spark, sf_dir), quality_rules.PRIOR_SHARE))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

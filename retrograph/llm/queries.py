@@ -55,7 +55,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return quality_rules.score_rules(docs, quality_rules.fit_rules(docs, table(spark, sf_dir, "labels")))
+    return quality_rules.score_rules(docs, quality_rules.fit_rules(docs, table(spark, sf_dir, "labels"), quality_rules.PRIOR_SHARE))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

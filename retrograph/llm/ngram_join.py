@@ -439,3 +439,31 @@ def drop_near_duplicates(docs: DataFrame, n: int = N, threshold: float = THRESHO
     if gone.count() <= BROADCAST_IDS:
         gone = F.broadcast(gone)
     return docs.join(gone, docs["doc_id"].cast("bigint") == gone["__gone"], "left_anti")
+
+
+def drop_repeated_rows(docs: DataFrame, n: int = N, threshold: float = THRESHOLD) -> DataFrame:
+    """One row of each group of near duplicates, whatever the doc_ids; rows without words all stay.
+
+    Texts are the nodes, told apart by a 64-bit hash, so a row goes only for
+    its own text: copies under one doc_id or without one are in the group, and
+    another text under the same doc_id isn't.  The row of least doc_id stays,
+    nulls last, then of least hash; of rows that share both, one stays.
+    """
+    has_words = docs["text"].rlike("[0-9A-Za-z]|[^\\x00-\\x7F]")
+    rows = docs.select(F.struct("*").alias("row"), docs["doc_id"].cast("bigint").alias("id"), F.when(has_words, F.xxhash64(docs["text"])).alias("node"))
+    texts = rows.where("node is not null").select(F.col("node").alias("doc_id"), F.col("row.text").alias("text"))
+    groups = duplicate_groups(texts, n, threshold)
+    if groups.count() <= BROADCAST_IDS:
+        groups = F.broadcast(groups)
+    held = rows.where("node is not null").groupBy("id", "node").agg(F.count("*").alias("copies")).join(groups, "node", "left")
+    held = held.select("id", "node", "copies", F.coalesce("root", "node").alias("root"))
+    order = F.struct(F.col("id").isNull(), "id", "node")
+    stays = held.groupBy("root").agg(F.min(order).alias("least"))
+    held = held.join(stays, "root").withColumn("stays", order == F.col("least"))
+    marked = common.written(held.where("not stays or copies > 1").select(F.col("id").alias("marked_id"), F.col("node").alias("marked_node"), "stays"), "ngram-repeats")
+    if marked.count() <= BROADCAST_IDS:
+        marked = F.broadcast(marked)
+    rows = rows.join(marked, (F.col("node") == F.col("marked_node")) & F.col("id").eqNullSafe(F.col("marked_id")), "left")
+    once = rows.where("stays is null").select("row.*")
+    first = F.row_number().over(Window.partitionBy("id", "node").orderBy(F.monotonically_increasing_id()))
+    return once.unionByName(rows.where("stays").withColumn("first", first).where("first = 1").select("row.*"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import lang as L
 from ..functions import text as T
 from ..operators import lexicon, ngrams, pairs, phrases, review, stats, tags, vectors
+from ..sources import scratch
 from . import oracle as O
 from .policies import ExportPolicy, NgramPolicy, PhrasePolicy, ReviewPolicy
 
@@ -225,35 +226,37 @@ def decompose_grouped(spark: SparkSession, sf: str) -> DataFrame:
 
 # Phrases
 
-#: Pairs that phrase generation and review start from.
+#: Pairs that the SQL of phrase generation and review starts from; the queries take all.
 PIECES = 2000
 _PIECES_SQL = f"WITH {O.counts(_DOCS)}, pairs AS ({O.pairs('es', 'en')} ORDER BY {O.PAIR_ORDER} LIMIT {PIECES}), pieces_in AS (SELECT CAST(row_number() OVER (ORDER BY {O.PAIR_ORDER}) - 1 AS BIGINT) AS id, * FROM pairs)"
 _LOW = dict(min_source_count=1, min_target_count=1)
 
 
-def _top_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    """The best PIECES pairs, numbered from 0 in their order."""
+def _all_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """All pairs, numbered from 0 in their order; the order's ranges are numbered apart and then put end to end."""
     own = counts(spark, sf, langs=("es", "en"))
     found = pairs.reverse_pairs(*(ngrams.select_counts(own, lang=x, compacted=True) for x in ("es", "en")))
-    top = pairs.ordered_pairs(found, PIECES)
-    rank = F.row_number().over(Window.orderBy(F.desc(F.col("source_count") + F.col("target_count")), "source_text", "target_text", "source_norm_key", "target_norm_key", "source_n", "target_n"))  # PIECES rows at most
-    return top.withColumn("id", (rank - 1).cast("bigint"))
+    rows = scratch.cut(pairs.ordered_pairs(found).withColumn("at", F.monotonically_increasing_id()))
+    rows = rows.withColumn("range", F.shiftright("at", 33)).withColumn("at", F.col("at").bitwiseAND(F.lit((1 << 33) - 1)))
+    before = F.sum("size").over(Window.orderBy("range")) - F.col("size")  # a row for each range
+    starts = rows.groupBy("range").agg(F.count("*").alias("size")).select("range", before.alias("start"))
+    return rows.join(F.broadcast(starts), "range").withColumn("id", F.col("start") + F.col("at")).drop("range", "at", "start")
 
 
 @query(f"{_PIECES_SQL}, u AS ({O.pieces(PhrasePolicy(**_LOW, piece_limit=40))}) SELECT id, source_text, target_text, pair_score, source_count, target_count, source_n, target_n, source_norm_key, target_norm_key, round(quality, 6) AS quality FROM u")
 def piece_filter_topk(spark: SparkSession, sf: str) -> DataFrame:
-    kept = phrases.filter_pieces(_top_pairs(spark, sf), PhrasePolicy(**_LOW, piece_limit=40))
+    kept = phrases.filter_pieces(_all_pairs(spark, sf), PhrasePolicy(**_LOW, piece_limit=40))
     return kept.select(*phrases.PIECE[:10], F.round("quality", 6).alias("quality"))
 
 
 @query(f"{_PIECES_SQL} SELECT id, CAST({O.fragment('source_text', 'source_lang', 6.0)} AS DOUBLE) AS source_fragment, CAST({O.fragment('target_text', 'target_lang', 6.0)} AS DOUBLE) AS target_fragment FROM pieces_in")
 def piece_penalties(spark: SparkSession, sf: str) -> DataFrame:
-    return _top_pairs(spark, sf).select("id", *(phrases.fragment_penalty(F.col(f"{s}_text"), F.col(f"{s}_lang"), PhrasePolicy()).alias(f"{s}_fragment") for s in ("source", "target")))
+    return _all_pairs(spark, sf).select("id", *(phrases.fragment_penalty(F.col(f"{s}_text"), F.col(f"{s}_lang"), PhrasePolicy()).alias(f"{s}_fragment") for s in ("source", "target")))
 
 
 def _phrase_query(name: str, policy: PhrasePolicy) -> None:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        out = phrases.generate_phrases(_top_pairs(spark, sf), policy)
+        out = phrases.generate_phrases(_all_pairs(spark, sf), policy)
         return out.select(*(F.to_json(c).alias(c) if c in ("pieces", "piece_ids", "source_counts", "target_counts") else F.col(c) for c in out.columns))
 
     query(f"{_PIECES_SQL}, {O.phrases(policy)}", name)(run)
@@ -270,12 +273,12 @@ _phrase_query("phrase_repeated_pieces", PhrasePolicy(**_LOW, piece_limit=20, bea
 
 @query(f"{_PIECES_SQL} SELECT {', '.join(review.TABLE)} FROM pieces_in WHERE contains(lower(source_text), 'a') AND pair_score >= 1.5 AND target_n = 1 ORDER BY pair_score DESC, source_count DESC, target_count DESC, source_text, target_text LIMIT 500")
 def review_filter(spark: SparkSession, sf: str) -> DataFrame:
-    return review.review_table(review.filter_review(_top_pairs(spark, sf), ReviewPolicy(source_contains=" A ", min_pair_score=1.5, target_n=1)))
+    return review.review_table(review.filter_review(_all_pairs(spark, sf), ReviewPolicy(source_contains=" A ", min_pair_score=1.5, target_n=1)))
 
 
 @query(f"{_PIECES_SQL} SELECT id, source_norm_key, target_norm_key, reverse(source_norm_key) AS reversed_source_key, CASE WHEN reverse(source_norm_key) = target_norm_key THEN 'match' ELSE 'mismatch' END AS status FROM pieces_in")
 def review_key_check(spark: SparkSession, sf: str) -> DataFrame:
-    return review.key_check(_top_pairs(spark, sf)).select("id", "source_norm_key", "target_norm_key", "reversed_source_key", "status")
+    return review.key_check(_all_pairs(spark, sf)).select("id", "source_norm_key", "target_norm_key", "reversed_source_key", "status")
 
 
 @query(
@@ -283,7 +286,7 @@ def review_key_check(spark: SparkSession, sf: str) -> DataFrame:
 )
 def review_detail(spark: SparkSession, sf: str) -> DataFrame:
     lines = F.split("detail", "\n")
-    return review.detail(_top_pairs(spark, sf)).select("id", F.concat_ws("\n", lines[0], lines[1], lines[8 + 1]).alias("part"))
+    return review.detail(_all_pairs(spark, sf)).select("id", F.concat_ws("\n", lines[0], lines[1], lines[8 + 1]).alias("part"))
 
 
 LISTED = ["de", "la", "on", "no", "te", "se", "la mar"]
@@ -299,7 +302,7 @@ def word_list_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"{_PIECES_SQL} SELECT id, source_text, target_text FROM pieces_in WHERE len(string_split(source_text, ' ')) = 1 AND len(string_split(target_text, ' ')) = 2")
 def ngram_size_filter(spark: SparkSession, sf: str) -> DataFrame:
-    return review.filter_pairs(_top_pairs(spark, sf), source_n=1, target_n=2).select("id", "source_text", "target_text")
+    return review.filter_pairs(_all_pairs(spark, sf), source_n=1, target_n=2).select("id", "source_text", "target_text")
 
 
 # Tags and lexicons

@@ -1,31 +1,37 @@
-"""N-gram Jaccard self-join: all pairs of documents whose word n-gram sets reach a Jaccard threshold.
+"""N-gram Jaccard self-join: which documents have word n-gram sets whose Jaccard similarity reaches a threshold.
 
-Exact, with every document as a query and no cap on partners.
+Exact, with every document as a query and no cap on partners.  Documents with
+equal texts are one *text* with a number of copies: texts are joined, and
+copies are counted, never expanded into pairs.
 
 1. Every document becomes its set of hashed word n-grams.  Map tasks pack the
    sets, split by ranges of the hash, into a few binary rows.
-2. Each range counts in how many documents its n-grams occur.  Those of one
-   document only can't be in any overlap and end here.
-3. A document goes on if enough of its n-grams are shared to reach the
-   threshold with anyone.  Its set is ordered by document frequency, rarest
-   first; by the prefix principle two similar sets share one of their first
+2. Each range counts in how many texts its n-grams occur.  Those of one text
+   only can't be in any overlap and end here.
+3. A text goes on if enough of its n-grams are shared to reach the threshold
+   with anyone.  Its set is ordered by frequency, rarest first; by the prefix
+   principle two similar sets share one of their first
    ``|x| - ceil(t|x|) + 1`` n-grams.
-4. Documents that share a prefix n-gram and whose sizes allow the threshold are
+4. Texts that share a prefix n-gram and whose sizes allow the threshold are
    linked along each n-gram's list (a chain by size, so work is linear in the
    list), and connected components are found.
 5. In each component sets are joined with *set-relation skipping*.  Inverted
-   lists hold documents by position in order of size, so the blocks outside
-   the sizes that a set can match are skipped; and a set that is very similar
-   to one already answered derives its overlaps from that one's: only lists of
+   lists hold texts by position in order of size, so the blocks outside the
+   sizes that a set can match are skipped; and a set that is very similar to
+   one already answered derives its overlaps from that one's: only lists of
    n-grams in which the two differ are read.  Components of more than
-   ``BLOCK`` documents are joined block against block by different tasks.
+   ``BLOCK`` texts are joined block against block by different tasks.
+
+``similarity_classes`` gives one row for each document with its class, which is
+the connected component of similar documents, and the number of its links;
+``jaccard_pairs`` gives the pairs of texts with their similarity.
 
 Defined results: a document with fewer than n words has one n-gram, all its
-words; one without words (null, empty, punctuation) matches nothing.  Rows
-without doc_id are left out.  Rows that repeat a doc_id with the same text are
-one document; different texts under one doc_id are joined with others but not
-with each other.  An empty table gives no pairs.  Other columns are not read.
-N-grams are compared by 48-bit hashes.
+words; one without words (null, empty, punctuation) matches nothing, not even
+its own copies.  Rows are joined by their texts, whatever their doc_ids: rows
+without doc_id and several texts under one doc_id take part like others, and
+rows that are repeated are copies.  An empty table gives no rows.  Other columns
+are not read.  N-grams are compared by 48-bit hashes, texts by 64-bit ones.
 """
 
 from __future__ import annotations
@@ -41,7 +47,7 @@ from . import bytescan, common
 
 N = 3
 THRESHOLD = 0.5
-#: Documents of a component that one task joins.
+#: Texts of a component that one task joins.
 BLOCK = 2000
 #: Ids up to this number are broadcast; beyond it the join shuffles.
 BROADCAST_IDS = 2_000_000
@@ -139,37 +145,36 @@ def _rows(rows: list[tuple[int, int, bytes]]) -> pa.Table:
     return pa.table([pa.array(part, pa.int32()), pa.array(kind, pa.int32()), pa.array(blob, pa.binary())], ["part", "kind", "blob"])
 
 
-def _explode_sets(docs: DataFrame, n: int, parts: int) -> DataFrame:
-    """Kind 0: packed n-grams by hash range; kind 1: key, doc_id and set size of documents, by key."""
+def _explode_sets(texts: DataFrame, n: int, parts: int) -> DataFrame:
+    """Kind 0: packed n-grams by hash range; kind 1: key, set size and copies of texts, by key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
         size = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            keys, ids = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
-            count, tokens = np.concatenate([h[2] for h in held]), np.concatenate([h[3] for h in held])
+            keys, first, copies = np.unique(np.concatenate([h[0] for h in held]), return_index=True, return_counts=True)
+            count, tokens = np.concatenate([h[1] for h in held]), np.concatenate([h[2] for h in held])
+            own = np.zeros(len(count), bool)
+            own[first] = True
+            tokens = tokens[np.repeat(own, count)]
+            order = np.argsort(first)
+            keys, copies, count = keys[order], copies[order], count[own]
             doc = np.repeat(np.arange(len(keys)), count)
             rows = [(p, 0, b) for p, b in _split(_range(tokens, parts), parts, doc, keys, tokens)]
             home = keys.astype(np.uint64) % np.uint64(parts)
             for p in np.unique(home):
                 at = home == p
-                rows.append((parts + int(p), 1, b"".join(x.astype("<i8").tobytes() for x in (keys[at], ids[at], count[at]))))
+                rows.append((parts + int(p), 1, b"".join(x.astype("<i8").tobytes() for x in (keys[at], count[at], copies[at]))))
             held.clear()
             yield from _rows(rows).to_batches()
 
         for batch in batches:
-            ids = batch.column(0)
-            real = np.asarray(ids.is_valid())
-            ids = ids.fill_null(0).to_numpy(zero_copy_only=False)
+            keys = np.asarray(batch.column(0))
             for lo, hi, raw, at in bytescan.chunks(batch.column(1)):
                 tokens, offset = gram_sets(raw, at, n)
-                running = bytescan.prefix_hash(raw)
-                body = bytescan.span_hash(running, at[:-1], at[1:])
-                keys = bytescan.mix(bytescan.mix(ids[lo:hi].astype(np.uint64)) ^ body).astype(np.int64)
-                use = real[lo:hi] & (np.diff(offset) > 0)
-                tokens = tokens[np.repeat(use, np.diff(offset))]
-                held.append((keys[use], ids[lo:hi][use], np.diff(offset)[use], tokens))
+                use = np.diff(offset) > 0
+                held.append((keys[lo:hi][use], np.diff(offset)[use], tokens))
                 size += len(tokens)
                 if size >= _FLUSH:
                     yield from flush()
@@ -177,11 +182,11 @@ def _explode_sets(docs: DataFrame, n: int, parts: int) -> DataFrame:
         if held:
             yield from flush()
 
-    return docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"]).mapInArrow(run, _PACKED)
+    return texts.select("node", "text").mapInArrow(run, _PACKED)
 
 
 def _count_shared(packed: DataFrame, parts: int) -> DataFrame:
-    """N-grams that occur in several documents, with the level of their document frequency, by document key.
+    """N-grams that occur in several texts, with the level of their frequency, by the text's key.
 
     A level is an eighth of a doubling, a byte instead of a number; orders by
     level and hash are the same for all documents, which is all the prefix needs.
@@ -192,7 +197,7 @@ def _count_shared(packed: DataFrame, parts: int) -> DataFrame:
             return _rows([(int(p) - parts, 1, bytes(b)) for p, b in zip(group["part"].to_pylist(), _blobs(group["blob"]), strict=True)])
         keys, count, tokens, _ = _gather(group["blob"])
         own, first = np.unique(keys, return_index=True)
-        if len(own) < len(keys):  # a row that was repeated
+        if len(own) < len(keys):  # a text that several blobs hold
             keep = np.zeros(len(keys), bool)
             keep[first] = True
             tokens, keys, count = tokens[np.repeat(keep, count)], keys[keep], count[keep]
@@ -213,35 +218,36 @@ def _count_shared(packed: DataFrame, parts: int) -> DataFrame:
 
 
 def _ordered_sets(shared: DataFrame, threshold: float) -> DataFrame:
-    """Documents that can reach the threshold with some other: shared n-grams, rarest first, and how many make the prefix."""
+    """Texts that can reach the threshold with some other: shared n-grams, rarest first, and how many make the prefix."""
 
     def run(group: pa.Table) -> pa.Table:
         kinds = np.asarray(group["kind"])
         tables = [np.frombuffer(b, "<i8").reshape(3, -1) for b, k in zip(_blobs(group["blob"]), kinds, strict=True) if k == 1]
-        out = {"key": [], "doc_id": [], "size": [], "prefix": [], "tokens": []}
+        out = {"key": [], "copies": [], "size": [], "prefix": [], "tokens": []}
         if tables and (kinds == 0).any():
             known = np.concatenate(tables, axis=1)
-            known = known[:, np.unique(known[0], return_index=True)[1]]
+            names, first, own = np.unique(known[0], return_index=True, return_inverse=True)
+            full, copies = known[1, first], np.bincount(own, known[2]).astype(np.int64)
             keys, count, tokens, df = _gather(group["blob"].filter(pa.array(kinds == 0)))
-            doc = np.searchsorted(known[0], np.repeat(keys, count))
-            have = np.bincount(doc, minlength=known.shape[1])
-            least = np.ceil(threshold * known[2] - 1e-9).astype(np.int64)
+            doc = np.searchsorted(names, np.repeat(keys, count))
+            have = np.bincount(doc, minlength=len(names))
+            least = np.ceil(threshold * full - 1e-9).astype(np.int64)
             go = have >= np.maximum(least, 1)
             use = go[doc]
             doc, tokens, df = doc[use], tokens[use], df[use]
             order = np.lexsort((tokens, df, doc))
             doc, tokens = doc[order], tokens[order]
-            at = np.searchsorted(doc, np.arange(known.shape[1] + 1))
+            at = np.searchsorted(doc, np.arange(len(names) + 1))
             for i in np.flatnonzero(go):
-                own, size = tokens[at[i] : at[i + 1]], int(known[2, i])
-                out["key"].append(int(known[0, i]))
-                out["doc_id"].append(int(known[1, i]))
+                part, size = tokens[at[i] : at[i + 1]], int(full[i])
+                out["key"].append(int(names[i]))
+                out["copies"].append(int(copies[i]))
                 out["size"].append(size)
-                out["prefix"].append(max(0, size - int(least[i]) + 1 - (size - len(own))))
-                out["tokens"].append(_six(own).tobytes())
-        return pa.table([pa.array(out["key"], pa.int64()), pa.array(out["doc_id"], pa.int64()), pa.array(out["size"], pa.int32()), pa.array(out["prefix"], pa.int32()), pa.array(out["tokens"], pa.binary())], list(out))
+                out["prefix"].append(max(0, size - int(least[i]) + 1 - (size - len(part))))
+                out["tokens"].append(_six(part).tobytes())
+        return pa.table([pa.array(out["key"], pa.int64()), pa.array(out["copies"], pa.int64()), pa.array(out["size"], pa.int32()), pa.array(out["prefix"], pa.int32()), pa.array(out["tokens"], pa.binary())], list(out))
 
-    return shared.groupBy("part").applyInArrow(run, "key bigint, doc_id bigint, size int, prefix int, tokens binary")
+    return shared.groupBy("part").applyInArrow(run, "key bigint, copies bigint, size int, prefix int, tokens binary")
 
 
 def _links(sets: DataFrame, threshold: float, parts: int) -> DataFrame:
@@ -297,7 +303,8 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """Connected components of edges (a, b): (node, root), root being the least node; single nodes don't appear.
 
     Alternates large-star and small-star steps until no edge changes; each
-    round is written to the shared folder.
+    round is written to the shared folder.  A node's least neighbour is found
+    by an aggregate, so the edges of a hub need not come together in one task.
     """
     edges = common.written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), label)
     state = None
@@ -307,10 +314,10 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
             break
         state = now
         both = edges.union(edges.select("b", "a"))
-        w = Window.partitionBy("a")
-        large = both.withColumn("m", F.least("a", F.min("b").over(w))).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        small = large.withColumn("m", F.min("b").over(w))
-        small = small.select(F.col("a"), F.col("m").alias("b")).union(small.select(F.col("b").alias("a"), F.col("m").alias("b"))).where("a <> b").distinct()
+        large = both.where("b > a").join(both.groupBy("a").agg(F.min("b").alias("m")), "a")
+        large = large.select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct()
+        small = large.join(large.groupBy("a").agg(F.min("b").alias("m")), "a")
+        small = small.select("a", F.col("m").alias("b")).union(small.select(F.col("b").alias("a"), F.col("m").alias("b"))).where("a <> b").distinct()
         edges = common.written(small, label)
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
@@ -369,24 +376,30 @@ def join_block(sizes: np.ndarray, sets: list[np.ndarray], threshold: float) -> t
     return tuple(np.concatenate(f) for f in zip(*found, strict=True)) if found else (np.empty(0, int),) * 3
 
 
-def _joined(sets: DataFrame, roots: DataFrame, threshold: float, parts: int, forest: bool) -> DataFrame:
-    """Pairs of documents within components, or with ``forest`` links that connect the same documents."""
+def _joined(sets: DataFrame, roots: DataFrame, threshold: float, parts: int, pairs: bool) -> DataFrame:
+    """Rows (a, b, value) of texts: with ``pairs`` all similar ones and their similarity.
+
+    Otherwise links that connect the same texts, and with b null how many
+    documents with other texts are similar to a; counts of a text add up.
+    """
     sized = roots.select("root", F.col("root").alias("key")).distinct().union(roots.select("root", F.col("node").alias("key")))
-    sized = sized.withColumn("blocks", F.ceil(F.count("*").over(Window.partitionBy("root")) / BLOCK).cast("int"))
+    blocks = sized.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    sized = sized.join(blocks, "root")
     task = F.expr("explode(flatten(transform(sequence(0, blocks - 1), k -> array(struct(least(k, mine) AS i, greatest(k, mine) AS j)))))")
     if sized.count() <= BROADCAST_IDS:
         sized = F.broadcast(sized)
     routed = sets.join(sized, "key").withColumn("mine", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")).withColumn("task", task)
-    routed = routed.select("key", "doc_id", "size", "tokens", "root", "mine", "task.i", "task.j")
+    routed = routed.select("key", "copies", "size", "tokens", "root", "mine", "task.i", "task.j")
     routed = routed.withColumn("part", F.pmod(F.xxhash64("root", "i", "j"), F.lit(parts)).cast("int"))
 
     def run(group: pa.Table) -> pa.Table:
         group = group.sort_by([("root", "ascending"), ("i", "ascending"), ("j", "ascending"), ("size", "ascending"), ("key", "ascending")])
-        root, i, j, size, mine, ids = (np.asarray(group[c]) for c in ("root", "i", "j", "size", "mine", "doc_id"))
+        root, i, j, size, mine, key, copies = (np.asarray(group[c]) for c in ("root", "i", "j", "size", "mine", "key", "copies"))
         size = size.astype(np.int64)
         blobs = [x.as_buffer() for chunk in group["tokens"].chunks for x in chunk]
         edge = np.flatnonzero(np.concatenate(([True], (root[1:] != root[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]), [True])))
-        out: list[tuple[np.ndarray, ...]] = []
+        out: list[tuple[np.ndarray, ...]] = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+        counts: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.int64), np.empty(0))]
         for s, e in zip(edge[:-1], edge[1:], strict=True):
             if e - s < 2:
                 continue
@@ -397,73 +410,108 @@ def _joined(sets: DataFrame, roots: DataFrame, threshold: float, parts: int, for
             if i[s] != j[s]:
                 cross = mine[s:e][a] != mine[s:e][b]
                 a, b, o = a[cross], b[cross], o[cross]
-            differ = ids[s:e][a] != ids[s:e][b]
-            a, b, o = a[differ], b[differ], o[differ]
-            if forest:
-                top = _union(e - s, a, b)
-                b = np.flatnonzero(top != np.arange(e - s))
-                out.append((ids[s:e][top[b]], ids[s:e][b], np.ones(len(b))))
-            else:
-                out.append((ids[s:e][a], ids[s:e][b], o / (size[s:e][a] + size[s:e][b] - o)))
-        a, b, similarity = (np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
-        return pa.table([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(similarity)], ["doc_id_a", "doc_id_b", "jaccard"])
+            if pairs:
+                out.append((key[s:e][a], key[s:e][b], o / (size[s:e][a] + size[s:e][b] - o)))
+                continue
+            near = np.bincount(a, copies[s:e][b], e - s) + np.bincount(b, copies[s:e][a], e - s)
+            at = np.flatnonzero(near)
+            counts.append((key[s:e][at], near[at]))
+            top = _union(e - s, a, b)
+            b = np.flatnonzero(top != np.arange(e - s))
+            out.append((key[s:e][top[b]], key[s:e][b], np.ones(len(b))))
+        a, b, value = (np.concatenate(x) for x in zip(*out, strict=True))
+        node, near = (np.concatenate(x) for x in zip(*counts, strict=True))
+        return pa.table([pa.array(np.concatenate((a, node))), pa.array(np.concatenate((b, node)), mask=np.arange(len(a) + len(node)) >= len(a)), pa.array(np.concatenate((value, near)))], ["a", "b", "value"])
 
-    return routed.groupBy("part").applyInArrow(run, "doc_id_a bigint, doc_id_b bigint, jaccard double")
+    return routed.groupBy("part").applyInArrow(run, "a bigint, b bigint, value double")
 
 
-def _search(docs: DataFrame, n: int, threshold: float, forest: bool) -> DataFrame:
+def _search(texts: DataFrame, n: int, threshold: float, pairs: bool) -> DataFrame:
+    """What ``_joined`` gives for texts (node, text); a node may occur again with the same text."""
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be above 0 and at most 1")
-    spark = docs.sparkSession
+    spark = texts.sparkSession
     common.prepare(spark)
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), docs.rdd.getNumPartitions())
-    sets = common.written(_ordered_sets(_count_shared(_explode_sets(docs, n, parts), parts), threshold), "ngram-sets")
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), texts.rdd.getNumPartitions())
+    sets = common.written(_ordered_sets(_count_shared(_explode_sets(texts, n, parts), parts), threshold), "ngram-sets")
     roots = components(_links(sets, threshold, parts), "ngram-links")
-    return _joined(sets, roots, threshold, parts, forest)
+    return common.written(_joined(sets, roots, threshold, parts, pairs), "ngram-found")
 
 
-def jaccard_pairs(docs: DataFrame, n: int = N, threshold: float = THRESHOLD) -> DataFrame:
-    """All pairs doc_id_a < doc_id_b with Jaccard similarity of at least the threshold, rounded to 6 digits."""
-    return _search(docs, n, threshold, False).withColumn("jaccard", F.round("jaccard", 6))
+def _bounded(df: DataFrame) -> DataFrame:
+    """The table, to be broadcast if it has few rows; beyond that joins shuffle."""
+    return F.broadcast(df) if df.count() <= BROADCAST_IDS else df
+
+
+def _named(docs: DataFrame) -> DataFrame:
+    """Rows with their doc_id and the hash of their text, null for a text without words."""
+    has_words = docs["text"].rlike("[0-9A-Za-z]|[^\\x00-\\x7F]")
+    return docs.select(F.struct("*").alias("row"), docs["doc_id"].cast("bigint").alias("id"), F.when(has_words, F.xxhash64(docs["text"])).alias("node"))
+
 
+_LEAST = "struct(id IS NULL, id, node)"
 
-def duplicate_groups(docs: DataFrame, n: int = N, threshold: float = THRESHOLD) -> DataFrame:
-    """(node, root): each document that is linked by similar pairs to one of lesser doc_id, and the least of its group."""
-    found = _search(docs, n, threshold, True).select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b"))
-    return components(found, "ngram-groups")
 
+def _classes(rows: DataFrame, n: int, threshold: float) -> DataFrame:
+    """For each doc_id and text that has links or copies: how often it occurs, the links of each of its rows, and the class's first."""
+    texts = rows.where("node is not null").select("node", F.col("row.text").alias("text"))
+    found = _search(texts, n, threshold, False)
+    groups = components(found.where("b is not null").select("a", "b"), "ngram-groups")
+    links = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("value").cast("bigint").alias("links"))
+    near = _bounded(groups.join(links, "node", "full").select("node", F.coalesce("root", "node").alias("root"), "links"))
+    held = rows.where("node is not null").groupBy("id", "node").agg(F.count("*").alias("rows"))
+    copies = held.groupBy("node").agg(F.sum("rows").alias("copies"), F.min(F.expr(_LEAST)).alias("least"))
+    texts = copies.join(near, "node", "left").where("links is not null or copies > 1")
+    texts = texts.select("node", "least", F.coalesce("root", "node").alias("root"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
+    texts = common.written(texts, "ngram-texts")
+    first = texts.groupBy("root").agg(F.min("least").alias("first"))
+    return held.join(_bounded(texts.join(first, "root").select("node", "links", "first")), "node")
 
-def drop_near_duplicates(docs: DataFrame, n: int = N, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents without those that have one of lesser doc_id in their group of near duplicates."""
-    gone = duplicate_groups(docs, n, threshold).select(F.col("node").alias("__gone"))
-    if gone.count() <= BROADCAST_IDS:
-        gone = F.broadcast(gone)
-    return docs.join(gone, docs["doc_id"].cast("bigint") == gone["__gone"], "left_anti")
+
+def _marked(rows: DataFrame, marks: DataFrame) -> DataFrame:
+    """Rows with what is known of their doc_id and text; a text that many rows share is joined without moving them, or with its rows split."""
+    marks = _bounded(common.written(marks.withColumnsRenamed({"id": "marked_id", "node": "marked_node"}), "ngram-marks"))
+    return rows.join(marks, (F.col("node") == F.col("marked_node")) & F.col("id").eqNullSafe(F.col("marked_id")), "left")
+
+
+def similarity_classes(docs: DataFrame, n: int = N, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, class_id and n_links of every row.
+
+    A row's links are the other rows whose similarity reaches the threshold,
+    copies of its own text among them; a class is what links connect, and
+    class_id is its least doc_id, null if no row of it has one.  A row without
+    links is a class of its own.  Classes whose least doc_id is the same, as one
+    doc_id has several texts, share the number.
+    """
+    rows = _named(docs)
+    marks = _classes(rows, n, threshold).select("id", "node", "links", "first")
+    rows = _marked(rows.select("id", "node"), marks)
+    return rows.select(F.col("id").alias("doc_id"), F.when(F.col("first").isNull(), F.col("id")).otherwise(F.col("first.id")).alias("class_id"), F.coalesce("links", F.lit(0)).alias("n_links"))
+
+
+def jaccard_pairs(docs: DataFrame, n: int = N, threshold: float = THRESHOLD) -> DataFrame:
+    """Pairs of different texts that reach the threshold, each named by the least doc_id of its rows, with the similarity rounded to 6 digits."""
+    rows = _named(docs)
+    texts = rows.where("node is not null")
+    pairs = _search(texts.select("node", F.col("row.text").alias("text")), n, threshold, True)
+    names = _bounded(texts.groupBy("node").agg(F.min("id").alias("id")).join(pairs.select("a").union(pairs.select("b")).distinct(), F.col("a") == F.col("node"), "left_semi"))
+    for side in ("a", "b"):
+        pairs = pairs.join(names.select(F.col("node").alias(side), F.col("id").alias(f"id_{side}")), side)
+    swap = F.col("id_a").isNull() | (F.col("id_a") > F.col("id_b"))
+    return pairs.select(F.when(swap, F.col("id_b")).otherwise(F.col("id_a")).alias("doc_id_a"), F.when(swap, F.col("id_a")).otherwise(F.col("id_b")).alias("doc_id_b"), F.round("value", 6).alias("jaccard"))
 
 
 def drop_repeated_rows(docs: DataFrame, n: int = N, threshold: float = THRESHOLD) -> DataFrame:
-    """One row of each group of near duplicates, whatever the doc_ids; rows without words all stay.
+    """One row of each class of near duplicates, whatever the doc_ids; rows without words all stay.
 
-    Texts are the nodes, told apart by a 64-bit hash, so a row goes only for
-    its own text: copies under one doc_id or without one are in the group, and
-    another text under the same doc_id isn't.  The row of least doc_id stays,
-    nulls last, then of least hash; of rows that share both, one stays.
+    Texts are the nodes, so a row goes only for its own text: copies under one
+    doc_id or without one are in the class, and another text under the same
+    doc_id isn't.  The row of least doc_id stays, nulls last, then of least hash
+    of the text; of rows that share both, one stays.
     """
-    has_words = docs["text"].rlike("[0-9A-Za-z]|[^\\x00-\\x7F]")
-    rows = docs.select(F.struct("*").alias("row"), docs["doc_id"].cast("bigint").alias("id"), F.when(has_words, F.xxhash64(docs["text"])).alias("node"))
-    texts = rows.where("node is not null").select(F.col("node").alias("doc_id"), F.col("row.text").alias("text"))
-    groups = duplicate_groups(texts, n, threshold)
-    if groups.count() <= BROADCAST_IDS:
-        groups = F.broadcast(groups)
-    held = rows.where("node is not null").groupBy("id", "node").agg(F.count("*").alias("copies")).join(groups, "node", "left")
-    held = held.select("id", "node", "copies", F.coalesce("root", "node").alias("root"))
-    order = F.struct(F.col("id").isNull(), "id", "node")
-    stays = held.groupBy("root").agg(F.min(order).alias("least"))
-    held = held.join(stays, "root").withColumn("stays", order == F.col("least"))
-    marked = common.written(held.where("not stays or copies > 1").select(F.col("id").alias("marked_id"), F.col("node").alias("marked_node"), "stays"), "ngram-repeats")
-    if marked.count() <= BROADCAST_IDS:
-        marked = F.broadcast(marked)
-    rows = rows.join(marked, (F.col("node") == F.col("marked_node")) & F.col("id").eqNullSafe(F.col("marked_id")), "left")
+    rows = _named(docs)
+    marks = _classes(rows, n, threshold).withColumn("stays", F.expr(_LEAST) == F.col("first")).where("not stays or rows > 1")
+    rows = _marked(rows, marks.select("id", "node", "stays"))
     once = rows.where("stays is null").select("row.*")
     first = F.row_number().over(Window.partitionBy("id", "node").orderBy(F.monotonically_increasing_id()))
     return once.unionByName(rows.where("stays").withColumn("first", first).where("first = 1").select("row.*"))

@@ -31,7 +31,7 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.jaccard_pairs(table(spark, sf_dir, "documents"))
+    return ngram_join.similarity_classes(table(spark, sf_dir, "documents"))
 
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,17 +89,27 @@ SELECT conv_id, CAST(count(*) AS INTEGER) AS n_messages, string_agg(head || tail
 FROM q GROUP BY conv_id
 """,
     "op5_ngram_jaccard_join": r"""
-WITH words AS (
-  SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9\x{80}-\x{10ffff}]+') AS t FROM documents WHERE doc_id IS NOT NULL
-), sets AS (
-  SELECT doc_id, CASE WHEN len(t) < 3 THEN [array_to_string(t, ' ')] ELSE list_distinct([array_to_string(t[i:i+2], ' ') for i in range(1, len(t) - 1)]) END AS s
+WITH RECURSIVE words AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(lower(text), '[a-z0-9\x{80}-\x{10ffff}]+') AS t FROM documents
+), sets AS MATERIALIZED (
+  SELECT r, CASE WHEN len(t) < 3 THEN [array_to_string(t, ' ')] ELSE list_distinct([t[i] || ' ' || t[i+1] || ' ' || t[i+2] for i in range(1, len(t) - 1)]) END AS s
   FROM words WHERE len(t) > 0
-), grams AS (
-  SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets
-), pairs AS (
-  SELECT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b, a.n AS na, b.n AS nb, count(*) AS o
-  FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+), grams AS MATERIALIZED (
+  SELECT r, len(s) AS n, hash(unnest(s)) AS g FROM sets
+), shared AS MATERIALIZED (
+  SELECT g.* FROM grams g JOIN (SELECT g FROM grams GROUP BY g HAVING count(*) > 1) USING (g)
+), links AS MATERIALIZED (
+  SELECT a.r AS x, b.r AS y FROM shared a JOIN shared b ON a.g = b.g AND a.r < b.r AND 2 * a.n >= b.n AND 2 * b.n >= a.n GROUP BY a.r, b.r, a.n, b.n HAVING count(*) / (a.n + b.n - count(*)) >= 0.5
+), both_ways AS MATERIALIZED (
+  SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reach AS (
+  SELECT x, y FROM both_ways UNION SELECT reach.x, l.y FROM reach JOIN both_ways l ON reach.y = l.x
+), least AS (
+  SELECT x, min(w.doc_id) AS class_id FROM reach JOIN words w ON w.r = reach.y GROUP BY x
+), counted AS (
+  SELECT x, count(*) AS n_links FROM both_ways GROUP BY x
 )
-SELECT doc_id_a, doc_id_b, round(o / (na + nb - o), 6) AS jaccard FROM pairs WHERE o / (na + nb - o) >= 0.5
+SELECT w.doc_id, least(w.doc_id, l.class_id) AS class_id, coalesce(c.n_links, 0) AS n_links
+FROM words w LEFT JOIN least l ON l.x = w.r LEFT JOIN counted c ON c.x = w.r
 """,
 }

@@ -28,58 +28,90 @@ def gram_set(text, n=3):
 
 
 def brute_pairs(rows, t, n=3):
-    sets = sorted({(i, frozenset(gram_set(x, n))) for i, x in rows if i is not None}, key=lambda r: r[0])
-    out = set()
-    for a, (i, x) in enumerate(sets):
-        for j, y in sets[a + 1 :]:
-            if i != j and x and y and len(x & y) / len(x | y) >= t:
-                out.add((i, j, round(len(x & y) / len(x | y), 6)))
-    return out
+    """Similar pairs of different texts, by their least doc_ids."""
+    least = {}
+    for i, x in rows:
+        s = gram_set(x, n)
+        if s:
+            least.setdefault(x, (s, []))[1].append(i)
+    texts = [(s, min((i for i in ids if i is not None), default=None)) for s, ids in least.values()]
+    out = []
+    for a, (x, i) in enumerate(texts):
+        for y, j in texts[:a]:
+            if len(x & y) / len(x | y) >= t:
+                lo, hi = sorted((i, j), key=lambda k: (k is None, k))
+                out.append((lo, hi, round(len(x & y) / len(x | y), 6)))
+    return sorted(map(str, out))
+
+
+def brute_classes(rows, t=0.5, n=3):
+    """doc_id, class_id and number of links of every row, and the rows of each class."""
+    sets = [gram_set(x, n) for _, x in rows]
+    root, links = list(range(len(rows))), [0] * len(rows)
 
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
 
-@pytest.mark.parametrize("t, n", [(0.5, 3), (0.8, 3), (0.3, 2), (1.0, 1)])
-def test_pairs(spark, t, n):
-    rows = copies()
-    got = [tuple(r) for r in ngram_join.jaccard_pairs(frame(spark, rows), n, t).collect()]
-    assert set(got) == brute_pairs(rows, t, n)
-    assert len(got) == len(set(got))
+    for a, x in enumerate(sets):
+        for b in range(a):
+            if x and sets[b] and len(x & sets[b]) / len(x | sets[b]) >= t:
+                root[find(a)] = find(b)
+                links[a] += 1
+                links[b] += 1
+    groups = {}
+    for k in range(len(rows)):
+        groups.setdefault(find(k), []).append(rows[k][0])
+    least = {r: min((i for i in ids if i is not None), default=None) for r, ids in groups.items()}
+    return sorted(str((i, least[find(k)], links[k])) for k, (i, _) in enumerate(rows)), list(groups.values())
 
 
-def test_pairs_in_blocks_and_without_broadcast(spark, monkeypatch):
-    rows = copies(9)
-    monkeypatch.setattr(ngram_join, "BLOCK", 3)
-    monkeypatch.setattr(ngram_join, "BROADCAST_IDS", 0)
-    assert {tuple(r) for r in ngram_join.jaccard_pairs(frame(spark, rows)).collect()} == brute_pairs(rows, 0.5)
+def kept_ids(rows, t=0.5):
+    """One row of each class: the least doc_id, nulls last."""
+    return sorted(min([i is None, i or 0] for i in ids) for ids in brute_classes(rows, t)[1])
 
 
-def kept_ids(rows, t=0.5):
-    root = {i: i for i, _ in rows if i is not None}
+def repeated():
+    rows = copies(7)
+    return rows + [(700, rows[0][1]), (700, rows[0][1] + " more"), (700, "another text of the same document id"), (None, rows[0][1]), (None, "two rows without an id"), (None, "two rows without an id"), (701, "!!!"), (702, "!!!")]
+
+
+@pytest.mark.parametrize("t, n", [(0.5, 3), (0.8, 3), (0.3, 2), (1.0, 1)])
+def test_pairs(spark, t, n):
+    rows = copies()
+    got = [str(tuple(r)) for r in ngram_join.jaccard_pairs(frame(spark, rows), n, t).collect()]
+    assert sorted(got) == brute_pairs(rows, t, n)
 
-    def find(x):
-        while root[x] != x:
-            x = root[x]
-        return x
 
-    for a, b, _ in brute_pairs(rows, t):
-        lo, hi = sorted((find(a), find(b)))
-        root[hi] = lo
-    return sorted([i is None, i or 0] for i, _ in rows if i is None or find(i) == i)
+@pytest.mark.parametrize("t, n", [(0.5, 3), (0.3, 2)])
+def test_classes_and_links(spark, t, n):
+    rows = repeated()
+    got = ngram_join.similarity_classes(frame(spark, rows), n, t)
+    assert got.columns == ["doc_id", "class_id", "n_links"]
+    assert sorted(str(tuple(r)) for r in got.collect()) == brute_classes(rows, t, n)[0]
 
 
-def test_one_of_each_group_stays(spark, monkeypatch):
-    rows = copies(2)
-    docs = frame(spark, rows)
-    kept = ngram_join.drop_near_duplicates(docs)
-    assert kept.columns == docs.columns
-    assert sorted([r["doc_id"] is None, r["doc_id"] or 0] for r in kept.collect()) == kept_ids(rows)
+def test_in_blocks_and_without_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK", 3)
     monkeypatch.setattr(ngram_join, "BROADCAST_IDS", 0)
-    assert ngram_join.drop_near_duplicates(docs).count() == len(kept_ids(rows))
+    rows = copies(9)
+    assert sorted(str(tuple(r)) for r in ngram_join.jaccard_pairs(frame(spark, rows)).collect()) == brute_pairs(rows, 0.5)
+    rows = repeated()
+    assert sorted(str(tuple(r)) for r in ngram_join.similarity_classes(frame(spark, rows)).collect()) == brute_classes(rows)[0]
+
+
+def test_components_of_a_long_chain_and_a_hub(spark):
+    edges = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 160)] + [(7, 7), (200, 201), (201, 200)]
+    got = {r["node"]: r["root"] for r in ngram_join.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    assert got == {**{k: 0 for k in range(1, 41)}, **{k: 100 for k in range(101, 160)}, 201: 200}
 
 
 def test_empty(spark):
     docs = frame(spark, [])
     assert ngram_join.jaccard_pairs(docs).collect() == []
-    assert ngram_join.drop_near_duplicates(docs).collect() == []
+    assert ngram_join.similarity_classes(docs).collect() == []
+    assert ngram_join.drop_repeated_rows(docs).collect() == []
     with pytest.raises(ValueError):
         ngram_join.jaccard_pairs(docs, threshold=0)
 

@@ -4,27 +4,7 @@ import corpus_pipeline
 from retrograph.llm import ngram_join
 
 from .data import frame, words
-from .test_join_packing import copies, gram_set
-
-
-def kept_rows(rows, t=0.5):
-    """One row of each group of rows, linked by their own texts: the least doc_id, nulls last."""
-    sets = [frozenset(gram_set(x)) for _, x in rows]
-    root = list(range(len(rows)))
-
-    def find(x):
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    for a, x in enumerate(sets):
-        for b in range(a):
-            if x and sets[b] and len(x & sets[b]) / len(x | sets[b]) >= t:
-                root[find(a)] = find(b)
-    groups = {}
-    for k, (i, _) in enumerate(rows):
-        groups.setdefault(find(k), []).append((i is None, i or 0))
-    return sorted(min(g) for g in groups.values())
+from .test_join_packing import copies, kept_ids
 
 
 def test_one_row_of_each_group_stays(spark, monkeypatch):
@@ -39,6 +19,6 @@ def test_one_row_of_each_group_stays(spark, monkeypatch):
         kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
         assert kept.columns == docs.columns
         got = [(r["doc_id"], r["text"]) for r in kept.collect()]
-        assert sorted((i is None, i or 0) for i, _ in got) == kept_rows(rows)
+        assert sorted([i is None, i or 0] for i, _ in got) == kept_ids(rows)
         assert (900, other) in got and sum(x in (text, near) for _, x in got) == 1
     assert corpus_pipeline.drop_near_duplicates(spark, frame(spark, []), "").collect() == []

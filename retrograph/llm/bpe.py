@@ -11,7 +11,9 @@ emitted.  Lookahead is bounded by what a merge can reach back.
 Texts are cut by the usual pattern of such vocabularies (contractions, letters,
 numbers, marks, white space) with numpy on whole Arrow columns; every distinct
 piece goes through the transducer once in a worker, and is remembered by its
-64-bit hash (up to ``CACHE_WORDS`` pieces, then the memory starts anew).
+64-bit hash (up to ``CACHE_WORDS`` pieces, then the memory starts anew).  Where
+only the ids matter, as in shards of ids, ``Lattice`` gives the same ones with
+arrays, all new pieces of a chunk at once.
 
 *Decoding.*  ``StreamDecoder`` takes ids in portions of any size; bytes of a
 character that isn't complete are held back in the state of a UTF-8 machine.
@@ -255,11 +257,130 @@ class Transducer:
         return out
 
 
-class Encoder:
-    """Token ids of whole Arrow columns."""
+class _Table:
+    """Numbers of distinct 64-bit keys, found for whole arrays."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
+        bits = max(12, int(len(keys)).bit_length() + 3)
+        self.shift, self.probes = np.uint64(64 - bits), 0
+        self.keys, self.values = np.zeros(1 << bits, np.uint64), np.full(1 << bits, -1, np.int32)
+        todo = np.arange(len(keys))
+        while len(todo):
+            slot = self._slot(keys[todo], self.probes)
+            _, first = np.unique(slot, return_index=True)
+            first = first[self.values[slot[first]] < 0]
+            self.keys[slot[first]], self.values[slot[first]] = keys[todo[first]], values[todo[first]]
+            todo = np.delete(todo, first)
+            self.probes += 1
+
+    def _slot(self, keys: np.ndarray, probe: int) -> np.ndarray:
+        return ((keys >> self.shift).astype(np.int64) + probe) & (len(self.keys) - 1)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        slot = self._slot(keys, 0)
+        out = np.where(self.keys[slot] == keys, self.values[slot], -1)
+        rest = np.flatnonzero((out < 0) & (self.values[slot] >= 0))
+        for probe in range(1, self.probes):
+            if not len(rest):
+                break
+            slot = self._slot(keys[rest], probe)
+            hit = self.keys[slot] == keys[rest]
+            out[rest[hit]] = self.values[slot[hit]]
+            rest = rest[~hit & (self.values[slot] >= 0)]
+        return out
+
+
+class Lattice:
+    """The transducer's runs for many pieces at once, with arrays instead of states.
+
+    For every end of a piece's beginnings exactly one token fits the last token
+    of what is before it.  All tokens within all pieces are looked up by hash,
+    those that fit are taken from the left, and ids are read from the right.
+    """
+
+    #: Longer pieces go through the transducer.
+    LONGEST = 48
 
     def __init__(self, vocabulary: Vocabulary) -> None:
+        v = vocabulary
+        used = np.array([k for k, t in enumerate(v.tokens) if len(t) == 1 or v.parts[k]], np.int64)
+        bounds = np.concatenate(([0], np.cumsum([len(t) for t in v.tokens])))
+        running = bytescan.prefix_hash(np.frombuffer(b"".join(v.tokens), np.uint8))
+        self.size = np.diff(bounds)
+        self.tokens = _Table(bytescan.span_hash(running, bounds[used], bounds[used + 1]), used.astype(np.int32))
+        self.longest = int(min(self.LONGEST, self.size[used].max()))
+        self.left, self.right = (np.array([-1 if x is None else x[k] for x in v.parts], np.int32) for k in (0, 1))
+        made = np.flatnonzero(self.left >= 0)
+        self.pairs = _Table(self._pair(self.left[made], self.right[made]), made.astype(np.int32))
+
+    @staticmethod
+    def _pair(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        return bytescan.mix((left.astype(np.uint64) << np.uint64(32)) | right.astype(np.uint64))
+
+    def fits(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """``Vocabulary.fits`` of many pairs."""
+        ok = np.ones(len(left), bool)
+        at, bound = np.arange(len(left)), np.full(len(left), len(self.size), np.int32)
+        while len(at):
+            across = self.pairs.find(self._pair(left, right))
+            bad = (across >= 0) & (across < bound)
+            ok[at[bad]] = False
+            outer_left, outer_right = self.left[left], self.left[right]
+            go = ~bad & ((outer_left >= 0) | (outer_right >= 0))
+            at, left, right, outer_left, outer_right = (x[go] for x in (at, left, right, outer_left, outer_right))
+            down = (outer_right < 0) | ((outer_left >= 0) & (left > right))
+            bound = np.where(down, left, right + 1)
+            left, right = np.where(down, self.right[left], left), np.where(down, right, outer_right)
+        return ok
+
+    def encode(self, running: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces, one after another, and how many each has; ``running`` is the hash of the bytes they lie in."""
+        size = end - start
+        most = int(size.max())
+        base = np.concatenate(([0], np.cumsum(size + 1)))
+        piece = np.repeat(np.arange(len(size)), size)
+        at = np.arange(len(piece)) + np.repeat(start - np.cumsum(size) + size, size)
+        left = end[piece] - at
+        found: list[tuple[np.ndarray, ...]] = []
+        for k in range(1, min(most, self.longest) + 1):
+            some = np.flatnonzero(left >= k)
+            token = self.tokens.find(bytescan.span_hash(running, at[some], at[some] + k))
+            hit = np.flatnonzero(token >= 0)
+            place = (at - start[piece])[some[hit]]
+            found.append((piece[some[hit]], place, place + k, token[hit]))
+        piece, lo, hi, token = (np.concatenate(f) for f in zip(*found, strict=True))
+        order = np.argsort(hi.astype(np.uint16), kind="stable")
+        piece, lo, hi, token = piece[order], base[piece[order]] + lo[order], base[piece[order]] + hi[order], token[order]
+        bounds = np.searchsorted(hi - base[piece], np.arange(1, most + 2))
+        last = np.full(base[-1], -1, np.int32)
+        for s, e in zip(bounds[:-1], bounds[1:], strict=True):
+            before = last[lo[s:e]]
+            first = lo[s:e] == base[piece[s:e]]
+            take = first | (before >= 0)
+            check = np.flatnonzero(take & ~first)
+            take[check] = self.fits(before[check], token[s:e][check])
+            last[hi[s:e][take]] = token[s:e][take]
+        place, own = base[1:] - 1, np.arange(len(size))
+        out: list[tuple[np.ndarray, np.ndarray]] = []
+        while len(own):
+            token = last[place]
+            if (token < 0).any():
+                raise ValueError("the vocabulary can't express a byte")
+            out.append((own, token))
+            place = place - self.size[token]
+            go = place > base[own]
+            own, place = own[go], place[go]
+        own, token = np.concatenate([o[0] for o in out][::-1]), np.concatenate([o[1] for o in out][::-1])
+        order = np.argsort(own, kind="stable")
+        return token[order], np.bincount(own, minlength=len(size))
+
+
+class Encoder:
+    """Token ids of whole Arrow columns; ``by_lattice`` sends new pieces through the lattice, all of a chunk at once."""
+
+    def __init__(self, vocabulary: Vocabulary, by_lattice: bool = False) -> None:
         self.transducer = Transducer(vocabulary)
+        self.lattice = Lattice(vocabulary) if by_lattice else None
         self._forget()
 
     def _forget(self) -> None:
@@ -277,15 +398,25 @@ class Encoder:
             out[rest] = np.where(self.names[at] == names[rest], self.place[at], -1)
         return out
 
-    def _learn(self, names: np.ndarray, words: list[bytes]) -> None:
-        """Encode pieces; ``names`` are in ascending order."""
-        found = [self.transducer.encode(w) for w in words]
-        size = np.array([len(f) for f in found], np.int64)
-        flat = np.fromiter((i for f in found for i in f), np.int32, int(size.sum()))
+    def _learn(self, names: np.ndarray, raw: np.ndarray, running: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
+        """Encode the pieces from start to end; ``names`` are in ascending order."""
+        short = np.flatnonzero(end - start <= Lattice.LONGEST) if self.lattice else np.empty(0, np.int64)
+        if len(short):
+            order = np.concatenate((short, np.setdiff1d(np.arange(len(start)), short)))
+            flat, size = self.lattice.encode(running, start[short], end[short])
+        else:
+            order, flat, size = np.arange(len(start)), np.empty(0, np.int32), np.empty(0, np.int64)
+        rest = order[len(short) :]
+        if len(rest):
+            body = raw.tobytes()
+            found = [self.transducer.encode(body[s:e]) for s, e in zip(start[rest].tolist(), end[rest].tolist(), strict=True)]
+            size = np.concatenate((size, np.array([len(f) for f in found], np.int64)))
+            flat = np.concatenate((flat, np.fromiter((i for f in found for i in f), np.int32)))
         while self.size + len(flat) > len(self.ids):
             self.ids = np.concatenate((self.ids, np.empty_like(self.ids)))
         self.ids[self.size : self.size + len(flat)] = flat
-        number = np.arange(len(self.ends) - 1, len(self.ends) - 1 + len(words))
+        number = np.empty(len(order), np.int64)
+        number[order] = np.arange(len(self.ends) - 1, len(self.ends) - 1 + len(order))
         self.ends = np.concatenate((self.ends, self.size + np.cumsum(size)))
         self.size += len(flat)
         at = np.searchsorted(self.names, names)
@@ -300,13 +431,13 @@ class Encoder:
             self._forget()
         start = pieces(raw, at)
         end = np.append(start[1:], len(raw))
-        names = bytescan.span_hash(bytescan.prefix_hash(raw), start, end)
+        running = bytescan.prefix_hash(raw)
+        names = bytescan.span_hash(running, start, end)
         place = self._find(names)
         new = np.flatnonzero(place < 0)
         if len(new):
             own, first = np.unique(names[new], return_index=True)
-            body = raw.tobytes()
-            self._learn(own, [body[s:e] for s, e in zip(start[new[first]].tolist(), end[new[first]].tolist(), strict=True)])
+            self._learn(own, raw, running, start[new[first]], end[new[first]])
             place[new] = self._find(names[new])
         lo, size = self.ends[place], self.ends[place + 1] - self.ends[place]
         ends = np.cumsum(size)
@@ -378,15 +509,15 @@ def decode_rows(tokens: np.ndarray, bounds: np.ndarray, ids: np.ndarray, at: np.
     return [machine.feed(data[s:e]) + machine.finish() for s, e in zip(cut[:-1], cut[1:], strict=True)]
 
 
-_made: dict[str, tuple[Vocabulary, Encoder]] = {}
+_made: dict[tuple[str, bool], Encoder] = {}
 
 
-def worker_encoder(name: str, vocabulary: Vocabulary) -> Encoder:
+def worker_encoder(name: str, vocabulary: Vocabulary, by_lattice: bool = False) -> Encoder:
     """The encoder of this worker, kept from task to task."""
-    if name not in _made:
+    if (name, by_lattice) not in _made:
         _made.clear()
-        _made[name] = (vocabulary, Encoder(vocabulary))
-    return _made[name][1]
+        _made[name, by_lattice] = Encoder(vocabulary, by_lattice)
+    return _made[name, by_lattice]
 
 
 def encode_documents(docs: DataFrame, ranks: str = RANKS) -> DataFrame:

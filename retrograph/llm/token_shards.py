@@ -4,7 +4,7 @@ Every map task encodes its documents with the byte-level BPE and closes a shard
 after ``SHARD_TOKENS`` ids (a longer document makes a shard of its own).  In a
 shard, frequent pairs of neighbouring symbols are replaced by nonterminals,
 again and again: a pass takes all pairs that occur at least ``least`` times,
-where ``least`` falls to a quarter from pass to pass down to ``MIN_COUNT``, and
+where ``least`` falls to a quarter from pass to pass down to ``MIN_COUNT`` (two), and
 replaces the more frequent one where two overlap.  It ends when no pair occurs
 ``MIN_COUNT`` times.  Pairs don't cross documents.
 
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from . import bpe, common
 
 SHARD_TOKENS = 1 << 20
-MIN_COUNT = 4
+MIN_COUNT = 2
 
 _SPREAD = np.int64(0x1E3779B97F4A7C15)
 _LOW, _SHIFT = (1 << 18) - 1, np.int64(40)
@@ -192,7 +192,7 @@ def write_shards(docs: DataFrame, ranks: str = bpe.RANKS, shard_tokens: int = SH
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = shared.value
-        encoder, size = bpe.worker_encoder(ranks, vocabulary), len(vocabulary.tokens)
+        encoder, size = bpe.worker_encoder(ranks, vocabulary, by_lattice=True), len(vocabulary.tokens)
         number = TaskContext.get().partitionId() << 32
         held: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
         tokens = 0

@@ -33,25 +33,39 @@ def odd_texts():
     return ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 25))) for _ in range(600)] + ["a" * 5000, " " * 3000, "", "it's x'sfoo 'd'd !!'s 's\n's we'll've"]
 
 
-def encode(vocabulary, texts):
+def encode(vocabulary, texts, by_lattice=False):
     out = []
-    for lo, hi, ids, at in bpe.Encoder(vocabulary).encode(pa.array(texts, pa.string())):
+    for lo, hi, ids, at in bpe.Encoder(vocabulary, by_lattice).encode(pa.array(texts, pa.string())):
         out += [ids[at[k] : at[k + 1]].tolist() for k in range(hi - lo)]
     return out
 
 
-def test_ids_are_those_of_a_public_library(vocabulary, public):
-    texts = odd_texts()
-    assert encode(vocabulary, texts) == [public.encode_ordinary(t) for t in texts]
+def random_words():
+    rnd = random.Random(8)
+    return [" ".join("".join(rnd.choice("aeinorstlédcumpöхпто日本") for _ in range(rnd.randint(1, 60))) for _ in range(40)) for _ in range(50)]
+
+
+@pytest.mark.parametrize("by_lattice", [False, True])
+def test_ids_are_those_of_a_public_library(vocabulary, public, by_lattice):
+    texts = odd_texts() + random_words()
+    assert encode(vocabulary, texts, by_lattice) == [public.encode_ordinary(t) for t in texts]
+
+
+def test_pairs_that_fit(vocabulary):
+    rng = np.random.default_rng(2)
+    lattice, n = bpe.Lattice(vocabulary), len(vocabulary.tokens)
+    left, right = (np.concatenate((rng.integers(0, 300, 3000), rng.integers(0, n, 3000))) for _ in range(2))
+    assert lattice.fits(left, right).tolist() == [vocabulary.fits(int(a), int(b)) for a, b in zip(left, right, strict=True)]
 
 
-def test_ids_with_small_memory(vocabulary, monkeypatch):
+@pytest.mark.parametrize("by_lattice", [False, True])
+def test_ids_with_small_memory(vocabulary, monkeypatch, by_lattice):
     texts = odd_texts()
-    want = encode(vocabulary, texts)
+    want = encode(vocabulary, texts, by_lattice)
     monkeypatch.setattr(bpe, "CACHE_WORDS", 10)
     monkeypatch.setattr(bpe, "MAX_STATES", 20)
     monkeypatch.setattr(bpe.bytescan.chunks, "__defaults__", (300,))
-    assert encode(vocabulary, texts) == want
+    assert encode(vocabulary, texts, by_lattice) == want
 
 
 @pytest.mark.parametrize("cut", [1, 2, 3, 7])
@@ -113,7 +127,7 @@ def test_no_pair_is_left_that_repeats():
             continue
         seen[p] = (seen.get(p, (0, -2))[0] + 1, k)
         last = p
-    assert max(n for n, _ in seen.values()) < token_shards.MIN_COUNT
+    assert max(n for n, _ in seen.values()) < 2
     assert len(symbols) < 0.5 * len(ids) and len(rules)
     assert token_shards.expansion_lengths(rules, 6).min() == 2
 

@@ -1,10 +1,11 @@
 """Media columns: TIFF files to one row per page.
 
 ``read_pages`` walks the chain of image directories (classic and 64-bit files,
-both byte orders), reads strips or tiles, decodes none, PackBits, LZW or deflate,
+both byte and bit orders), reads strips or tiles, decodes none, PackBits, LZW or deflate,
 undoes the horizontal and the floating-point predictor, joins separate planes,
 and gives every page's samples row by row, interleaved, little-endian; samples
-of 1, 2 and 4 bits come as bytes.
+of 1, 2 and 4 bits come as bytes.  A page of more than ``PART_BYTES`` comes in
+several rows of whole lines, each with the number of its first one.
 
 LZW is decoded a table at a time with numpy: the place and width of every code
 up to the next clear follows from its number, an entry is a stretch of the
@@ -12,8 +13,8 @@ output itself, and bytes are resolved by halving the chains of references.
 
 Defined results: a null file gives no row; bytes that aren't TIFF give one row
 with page null and ``error``; a page that can't be decoded (cut short, unknown
-compression, more than ``MAX_PAGE_BYTES``) gives a row with what its directory
-says, null pixels and ``error``, and the next pages are read on; a directory chain that
+compression) gives a row with what its directory says, null pixels, ``error``
+and the line from which on it can't, and the next pages are read on; a directory chain that
 runs in a circle ends where it closes; repeated rows are decoded each; null id
 passes through; an empty table gives an empty result; other columns are not read.
 
@@ -33,7 +34,10 @@ from pyspark.sql import functions as F
 
 from . import common
 
-MAX_PAGE_BYTES = 1 << 30
+#: Decoded bytes of a page that one row holds, unless a single line has more.
+PART_BYTES = 256 << 20
+
+_TURNED = bytes(int(f"{k:08b}"[::-1], 2) for k in range(256))
 
 NONE, LZW, DEFLATE, OLD_DEFLATE, PACKBITS = 1, 5, 8, 32946, 32773
 _SIZES = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 6: 1, 7: 1, 8: 2, 9: 4, 10: 8, 11: 4, 12: 8, 13: 4, 16: 8, 17: 8, 18: 8}
@@ -210,21 +214,24 @@ def _samples(data: bytes, rows: int, columns: int, each: int, bits: int, big: bo
     return out
 
 
-def read_page(data: bytes, tags: dict[int, tuple[int, ...]]) -> dict:
-    """A page's description, and its pixels or what is wrong with it."""
+def read_page(data: bytes, tags: dict[int, tuple[int, ...]], part_bytes: int = PART_BYTES) -> Iterator[dict]:
+    """A page's description, with its pixels or what is wrong with it; large pages in parts."""
 
     def one(tag: int, default: int) -> int:
         return int(tags[tag][0]) if tags.get(tag) else default
 
-    page = {"width": one(256, 0), "height": one(257, 0), "bands": one(277, 1), "bits": one(258, 1), "sample_format": one(339, 1), "compression": one(259, NONE), "predictor": one(317, 1), "tiled": 322 in tags, "pixels": None, "error": None}
+    page = {"width": one(256, 0), "height": one(257, 0), "bands": one(277, 1), "bits": one(258, 1), "sample_format": one(339, 1), "compression": one(259, NONE), "predictor": one(317, 1), "tiled": 322 in tags, "first_line": 0, "pixels": None, "error": None}
+    line = 0
     try:
-        page["pixels"] = _pixels(data, tags, page, one)
+        for lines in _lines(data, tags, page, one, part_bytes):
+            yield page | {"first_line": line, "pixels": lines.tobytes()}
+            line += len(lines)
     except (ValueError, OverflowError) as e:
-        page["error"] = str(e)
-    return page
+        yield page | {"first_line": line, "error": str(e)}
 
 
-def _pixels(data: bytes, tags: dict[int, tuple[int, ...]], page: dict, one) -> bytes:
+def _lines(data: bytes, tags: dict[int, tuple[int, ...]], page: dict, one, part_bytes: int) -> Iterator[np.ndarray]:
+    """Samples of stretches of whole lines, each of at most ``part_bytes`` if a line has no more."""
     width, height, bands, bits = page["width"], page["height"], page["bands"], page["bits"]
     if width < 1 or height < 1 or bands < 1:
         raise BadTiff("no size")
@@ -232,11 +239,10 @@ def _pixels(data: bytes, tags: dict[int, tuple[int, ...]], page: dict, one) -> b
         raise BadTiff(f"samples of {tags.get(258)} bits")
     if page["predictor"] not in (1, 2, 3) or (page["predictor"] > 1 and bits < 8) or (page["predictor"] == 3 and bits < 16):
         raise BadTiff(f"predictor {page['predictor']}")
-    if one(266, 1) != 1:
-        raise BadTiff("reversed bit order")
+    turned = one(266, 1)
+    if turned not in (1, 2):
+        raise BadTiff(f"bit order {turned}")
     size = max(1, bits // 8)
-    if width * height * bands * size > MAX_PAGE_BYTES:
-        raise BadTiff("page too large")
     planes = bands if one(284, 1) == 2 and bands > 1 else 1
     each = bands // planes
     if page["tiled"]:
@@ -245,7 +251,7 @@ def _pixels(data: bytes, tags: dict[int, tuple[int, ...]], page: dict, one) -> b
     else:
         across, down = width, min(one(278, height), height)
         offsets, counts = tags.get(273, ()), tags.get(279, ())
-    if across < 1 or down < 1 or across * down * each * size > MAX_PAGE_BYTES:
+    if across < 1 or down < 1:
         raise BadTiff("no size of strips or tiles")
     columns, rows = -(-width // across), -(-height // down)
     if len(offsets) < columns * rows * planes:
@@ -254,35 +260,52 @@ def _pixels(data: bytes, tags: dict[int, tuple[int, ...]], page: dict, one) -> b
         if page["compression"] != NONE:
             raise BadTiff("no sizes of strips or tiles")
         counts = (len(data),) * len(offsets)
-    out = np.zeros((height, width, bands), f"<u{size}")
-    for k in range(columns * rows * planes):
-        plane, place = divmod(k, columns * rows)
-        y, x = divmod(place, columns)
+    together = max(1, part_bytes // (width * bands * size))  # lines of a part
+    held: list[np.ndarray] = []
+    have = 0
+    for y in range(rows):
         lines = down if page["tiled"] else min(down, height - y * down)
         want = lines * ((across * each * bits + 7) // 8)
-        block = _samples(_decode(data[offsets[k] : offsets[k] + counts[k]], page["compression"], want), lines, across, each, bits, bool(tags[-1][0]), page["predictor"])
-        here = out[y * down : y * down + lines, x * across : x * across + across, plane * each : plane * each + each]
-        here[:] = block[: here.shape[0], : here.shape[1]]
-    return out.tobytes()
-
-
-def read_pages(data: bytes) -> Iterator[dict]:
+        blocks = []
+        for plane in range(planes):
+            for x in range(columns):
+                k = (plane * rows + y) * columns + x
+                raw = data[offsets[k] : offsets[k] + counts[k]]
+                raw = _decode(raw.translate(_TURNED) if turned == 2 else raw, page["compression"], want)
+                blocks.append(_samples(raw, lines, across, each, bits, bool(tags[-1][0]), page["predictor"]))
+        shown = min(down, height - y * down)
+        out = np.concatenate([np.concatenate(blocks[p * columns : (p + 1) * columns], axis=1)[:shown, :width] for p in range(planes)], axis=2)
+        for s in range(0, shown, together):
+            if held and have + min(together, shown - s) > together:
+                yield np.concatenate(held)
+                held, have = [], 0
+            held.append(out[s : s + together])
+            have += len(held[-1])
+            if have >= together:
+                yield np.concatenate(held)
+                held, have = [], 0
+    if held:
+        yield np.concatenate(held)
+
+
+def read_pages(data: bytes, part_bytes: int = PART_BYTES) -> Iterator[dict]:
     """All pages of a file; a row with page None for what isn't TIFF or where the chain breaks."""
-    empty = dict.fromkeys(("width", "height", "bands", "bits", "sample_format", "compression", "predictor", "tiled", "pixels"))
+    empty = dict.fromkeys(("width", "height", "bands", "bits", "sample_format", "compression", "predictor", "tiled", "first_line", "pixels"))
     try:
         for k, tags in enumerate(directories(data)):
-            yield {"page": k, **read_page(data, tags)}
+            for part in read_page(data, tags, part_bytes):
+                yield {"page": k, **part}
     except BadTiff as e:
         yield {"page": None, **empty, "error": str(e)}
 
 
-_FIELDS = [("page", pa.int32()), ("width", pa.int32()), ("height", pa.int32()), ("bands", pa.int32()), ("bits", pa.int32()), ("sample_format", pa.int32()), ("compression", pa.int32()), ("predictor", pa.int32()), ("tiled", pa.bool_()), ("pixels", pa.binary()), ("error", pa.string())]
+_FIELDS = [("page", pa.int32()), ("width", pa.int32()), ("height", pa.int32()), ("bands", pa.int32()), ("bits", pa.int32()), ("sample_format", pa.int32()), ("compression", pa.int32()), ("predictor", pa.int32()), ("tiled", pa.bool_()), ("first_line", pa.int32()), ("pixels", pa.binary()), ("error", pa.string())]
 _PORTION = 16 << 20
 
 
-def decode_media(media: DataFrame, key: str = "page_id", column: str = "media") -> DataFrame:
-    """One row for each page of each file: the id and what ``read_pages`` gives."""
-    schema = f"{key} bigint, page int, width int, height int, bands int, bits int, sample_format int, compression int, predictor int, tiled boolean, pixels binary, error string"
+def decode_media(media: DataFrame, key: str = "page_id", column: str = "media", part_bytes: int = PART_BYTES) -> DataFrame:
+    """One row for each page of each file, or part of a large page: the id and what ``read_pages`` gives."""
+    schema = f"{key} bigint, page int, width int, height int, bands int, bits int, sample_format int, compression int, predictor int, tiled boolean, first_line int, pixels binary, error string"
 
     def maker():
         def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -297,7 +320,7 @@ def decode_media(media: DataFrame, key: str = "page_id", column: str = "media")
             for i, data in zip(batch.column(0), batch.column(1), strict=True):
                 if not data.is_valid:
                     continue
-                for page in read_pages(data.as_py()):
+                for page in read_pages(data.as_py(), part_bytes):
                     ids.append(i.as_py())
                     found.append(page)
                     held += len(page["pixels"] or b"")

@@ -76,6 +76,40 @@ def test_files_round_trip_and_damage():
             list(tiff.read_pages(bytes(bad)))
 
 
+def test_large_pages_come_in_parts():
+    rng = np.random.default_rng(5)
+    for _ in range(30):
+        page = random_page(rng)
+        parts = list(tiff.read_pages(tiff.write_file([page]), part_bytes=int(rng.integers(1, 3000))))
+        assert b"".join(p["pixels"] for p in parts) == page["image"].tobytes()
+        line = page["image"][0].nbytes
+        assert [p["first_line"] for p in parts] == [sum(len(q["pixels"]) // line for q in parts[:k]) for k in range(len(parts))]
+    image = np.arange(64, dtype=np.uint8).reshape(8, 8, 1)
+    data = tiff.write_file([{"image": image, "strip": 2, "compression": 8}, {"image": image}])
+    tags = next(tiff.directories(data))
+    broken = bytearray(data)
+    broken[tags[273][2] : tags[273][2] + 4] = b"\xff" * 4  # the third of four strips
+    got = list(tiff.read_pages(bytes(broken), part_bytes=16))
+    *whole, bad = (p for p in got if p["page"] == 0)
+    assert b"".join(p["pixels"] for p in got if p["page"] == 1) == image.tobytes()
+    assert [(p["first_line"], p["pixels"]) for p in whole] == [(0, image[:2].tobytes()), (2, image[2:4].tobytes())]
+    assert bad["first_line"] == 4 and bad["error"] and bad["pixels"] is None
+
+
+def test_turned_bit_order():
+    image = np.arange(250, dtype=np.uint8).reshape(10, 25, 1)
+    for compression in (1, 5, 8, 32773):
+        data = tiff.write_file([{"image": image, "compression": compression}])
+        tags = next(tiff.directories(data))
+        raw = bytearray(data)
+        for at, n in zip(tags[273], tags[279], strict=True):
+            raw[at : at + n] = raw[at : at + n].translate(tiff._TURNED)
+        (page,) = tiff.read_page(bytes(raw), tags | {266: (2,)})
+        assert page["pixels"] == image.tobytes()
+        (page,) = tiff.read_page(bytes(raw), tags | {266: (3,)})
+        assert page["error"]
+
+
 def test_bilevel_and_circle():
     bits = np.array([[1, 0, 1, 1, 0, 0, 0, 1, 1], [0, 1, 0, 0, 1, 1, 1, 0, 0]], np.uint8)
     packed = np.packbits(bits, axis=1).tobytes()

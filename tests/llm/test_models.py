@@ -128,57 +128,193 @@ def test_severity_on_unseen_documents(spark):
     assert by[0] < by[1] <= by[2] <= by[3] <= 3
 
 
+def test_ordinal_gradients_against_differences():
+    rng = np.random.default_rng(4)
+    z, limits, grade, weight = rng.normal(size=50) * 2, np.array([-0.5, 0.4, 1.5]), rng.integers(0, 4, 50), rng.random(50)
+    p = np.concatenate((np.ones((50, 1)), 1 / (1 + np.exp(limits - z[:, None])), np.zeros((50, 1))), axis=1)
+    loss, by_score, by_limit = toxicity.ordinal_loss(z, limits, grade, weight)
+    assert loss == pytest.approx(-sum(w * np.log(p[k, g] - p[k, g + 1]) for k, (g, w) in enumerate(zip(grade, weight, strict=True))))
+    for got, at in ((by_score, z), (by_limit, limits)):
+        for k in range(len(at)):
+            sides = []
+            for d in (1e-5, -1e-5):
+                own = at.copy()
+                own[k] += d
+                sides.append(toxicity.ordinal_loss(own if at is z else z, own if at is limits else limits, grade, weight)[0])
+            assert got[k] == pytest.approx((sides[0] - sides[1]) / 2e-5, abs=1e-6)
+
+
+def test_sample_of_repeated_and_missing_documents(spark):
+    docs = frame(spark, [(1, "b"), (1, "a"), (1, None), (2, "c"), (3, None), (None, "d")])
+    labels = label_frame(spark, [(k, 1, 0, "") for k in range(100, 160)] + [(1, 1, 0, ""), (1, 0, 0, ""), (2, 1, 0, ""), (3, 0, 0, ""), (None, 1, 0, "")])
+    text, y = common.labelled_sample(docs, labels, "quality", 4)
+    assert list(zip(text.to_pylist(), y.tolist(), strict=True)) == [("a", 0), ("c", 1), (None, 0)]
+
+
+def test_shared_folder_is_required_on_a_cluster(spark, monkeypatch):
+    class Conf:
+        get = staticmethod(lambda *a: None)
+
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        conf, sparkContext = Conf, Context
+
+    with pytest.raises(ValueError):
+        common.shared_dir(Session)
+
+
 def slow_expected(texts, weights):
-    """Counts and expected counts, a word at a time."""
+    """Counts and expected counts of classes, a word at a time."""
     counts, expected = np.zeros(weights.shape), np.zeros(weights.shape)
     for _, _, raw, at in bytescan.chunks(pa.array(texts)):
         events = lm_scoring.Events(bytescan.Words(raw, at))
-        for outcome, rows in events.parts(slice(0, len(events.cls))):
-            for k, y in enumerate(outcome):
-                z = sum(weights[r[k]].astype(float) for r in rows)
-                p = np.exp(z - z.max())
-                p /= p.sum()
-                for r in rows:
-                    counts[r[k], y] += 1
-                    expected[r[k]] += p
+        rows = [*events.rows(), np.full(len(events.cls), lm_scoring._ROWS)]
+        for k, y in enumerate(events.cls):
+            z = sum(weights[r[k]].astype(float) for r in rows)
+            p = np.exp(z - z.max())
+            p /= p.sum()
+            for r in rows:
+                counts[r[k], y] += 1
+                expected[r[k]] += p
     return counts, expected
 
 
 def test_expected_counts_equal_a_slow_version(spark):
     texts = [t[:3000] for _, t in awkward(6) if t] + ["a a a b a a"] * 3
     rng = np.random.default_rng(3)
-    weights = rng.normal(size=(lm_scoring._ROWS, lm_scoring.CLASSES)).astype(np.float32)
+    weights = rng.normal(size=(lm_scoring._ROWS + 1, lm_scoring.CLASSES)).astype(np.float32)
     counts, expected = slow_expected(texts, weights)
     docs = frame(spark, list(enumerate(texts)))
-    assert np.array_equal(lm_scoring._gather(docs, None), counts)
-    assert np.abs(lm_scoring._gather(docs, weights) - expected).max() < 1e-2
+    got, words = lm_scoring._gather(docs, None)
+    assert np.array_equal(got, counts)
+    assert np.abs(lm_scoring._gather(docs, weights)[0] - expected).max() < 1e-2
+    seen: dict = {}
+    for _, _, raw, at in bytescan.chunks(pa.array(texts)):
+        for h in lm_scoring.Events(bytescan.Words(raw, at)).hash.tolist():
+            seen[h >> 41] = seen.get(h >> 41, 0) + 1
+    assert {int(k): int(words[k]) for k in np.flatnonzero(words[:-1])} == seen
+    assert words[-1] == sum(bool(lm_scoring.bytescan.count_words(*bytescan.text_bytes(pa.array([t])))[0]) for t in texts)
+
+
+def slow_words(group, before, word, counted, share, rounds):
+    """P(word | class, context) by dictionaries, with every sum over all words of a class written out."""
+    per = len(share) // lm_scoring.CLASSES
+    q = np.exp(share.astype(float))
+    cls = lambda w: range(w // per * per, w // per * per + per)
+    pair, triple = {}, {}
+    for g, b, w, c in zip(group, before, word, counted, strict=True):
+        pair[g, w] = pair.get((g, w), 0) + c
+        triple[g, b, w] = triple.get((g, b, w), 0) + c
+    weight, fine = ({k: 0.0 for k, n in d.items() if n >= 2} for d in (pair, triple))
 
+    def share_of(g, b, w):
+        up = lambda v: q[v] * np.exp(weight.get((g, v), 0) + (fine.get((g, b, v), 0) if b is not None else 0))
+        return up(w) / sum(up(v) for v in cls(w))
 
-def test_language_model_learns_and_sums_to_one(spark):
-    rnd = random.Random(9)
+    def begin(seen, whole, pull, prior, keys):
+        p = [(n - 1 + pull * x) / (whole + pull) for n, x in zip(seen, prior, strict=True)]
+        return {k: np.log(a / x * max(1 - sum(prior), 1e-6) / max(1 - sum(p), 1e-6)) for k, a, x in zip(keys, p, prior, strict=True)}
+
+    for g, c in {(g, w // per) for g, w in pair}:
+        keys = [k for k in weight if k[0] == g and k[1] // per == c]
+        whole = sum(n for k, n in pair.items() if k[0] == g and k[1] // per == c)
+        weight |= begin([pair[k] for k in keys], whole, lm_scoring.PULL[0], [q[k[1]] for k in keys], keys)
+    start = {}
+    for g, b, c in {(g, b, w // per) for g, b, w in triple}:
+        keys = [k for k in fine if k[:2] == (g, b) and k[2] // per == c]
+        whole = sum(n for k, n in triple.items() if k[:2] == (g, b) and k[2] // per == c)
+        start |= begin([triple[k] for k in keys], whole, lm_scoring.PULL[1], [share_of(g, None, k[2]) for k in keys], keys)
+    fine |= start
+    for _ in range(rounds):
+        expected, fine_expected = dict.fromkeys(weight, 0.0), dict.fromkeys(fine, 0.0)
+        for g, b, w, c in zip(group, before, word, counted, strict=True):
+            for v in cls(w):
+                if (g, v) in weight:
+                    expected[g, v] += c * share_of(g, b, v)
+                if (g, b, v) in fine:
+                    fine_expected[g, b, v] += c * share_of(g, b, v)
+        for d, e, n, pull in ((weight, expected, pair, lm_scoring.PULL[0]), (fine, fine_expected, triple, lm_scoring.PULL[1])):
+            for k in d:
+                d[k] += lm_scoring.RATE * (n[k] - 1 - e[k]) / (max(n[k] - 1, e[k]) + pull)
+    assert all(abs(sum(share_of(g, b, v) for v in cls(w)) - 1) < 1e-9 for g, b, w in triple)
+    return [np.log(share_of(g, b, w)) for g, b, w in zip(group, before, word, strict=True)]
+
+
+@pytest.mark.parametrize("rounds", [0, 1, 3])
+def test_words_of_a_class_against_a_slow_version(rounds):
+    rng = np.random.default_rng(rounds)
+    n = 300
+    share = lm_scoring.word_shares(rng.poisson(2, 512))
+    assert np.allclose(np.exp(share.astype(float)).reshape(lm_scoring.CLASSES, -1).sum(1), 1, atol=1e-5)
+    group, before, word = rng.integers(0, 5, n), rng.integers(0, 3, n), np.minimum(rng.geometric(0.05, n), 60)
+    counted = (rng.random(n) < 0.8).astype(np.int32)
+    got = lm_scoring.word_log_probabilities(group, before, word, counted, share, rounds)
+    assert got == pytest.approx(slow_words(group.tolist(), before.tolist(), word.tolist(), counted.tolist(), share, rounds), abs=1e-5)
+    assert len(lm_scoring.word_log_probabilities(*(np.zeros(0, int),) * 4, share)) == 0
+
+
+def chains(n, seed=9):
+    rnd = random.Random(seed)
     follow = {w: rnd.sample("abcdefghijklmnopqrstuvwxyz", 2) for w in "abcdefghijklmnopqrstuvwxyz"}
     rows = []
-    for k in range(150):
+    for k in range(n):
         w, text = rnd.choice("abc"), []
         for _ in range(60):
             text.append(w)
             w = rnd.choice(follow[w])
         rows.append((k, " ".join(text)))
+    return rows, rnd
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_scores_of_documents_against_a_slow_version(spark, monkeypatch, parts):
+    rows = [(i, t[:4000] if t else t) for i, t in awkward(5)] + chains(20)[0]
+    docs = frame(spark, rows).repartition(parts)
+    monkeypatch.setattr(lm_scoring, "PART_WORDS", 500)
+    model = lm_scoring.fit_lm(docs)
+    got = sorted(str((r["doc_id"], r["n_words"])) + f"{r['log_prob']:.2f}" for r in lm_scoring.score_lm(docs, model).collect())
+    last, before, word, cls, doc = [], [], [], [], []
+    for k, (_, t) in enumerate(rows):
+        for _, _, raw, at in bytescan.chunks(pa.array([t], pa.string())):
+            e = lm_scoring.Events(bytescan.Words(raw, at))
+            for into, h in ((last, e.last), (before, e.before), (word, e.hash)):
+                into += lm_scoring.Events.words(h, model.bits).tolist()
+            cls += lm_scoring.class_log_probabilities(e, model.weights).tolist()
+            doc += [k] * len(e.hash)
+    _, group = np.unique(last, return_inverse=True)
+    score = cls + lm_scoring.word_log_probabilities(group, np.array(before), np.array(word), np.ones(len(word), np.int32), model.share)
+    total, count = np.bincount(doc, score, len(rows)), np.bincount(doc, minlength=len(rows))
+    want = sorted(str((i, int(n))) + f"{x:.2f}" for (i, _), n, x in zip(rows, count, total, strict=True))
+    near = [(a.rsplit(")", 1), b.rsplit(")", 1)) for a, b in zip(got, want, strict=True)]
+    assert all(a[0] == b[0] and abs(float(a[1]) - float(b[1])) < 0.05 for a, b in near)
+
+
+def test_language_model_learns(spark):
+    rows, rnd = chains(150)
     docs = frame(spark, rows)
-    weights = lm_scoring.fit_lm(docs)
-    start = lm_scoring.start(lm_scoring._gather(docs, None))
-    held = pa.array([t for _, t in rows])
-    before, after = (lm_scoring.log_probabilities(held, w)[1].sum() for w in (start, weights))
-    assert after > before
-    shuffled = pa.array([" ".join(rnd.sample(t.split(), 60)) for _, t in rows])
-    assert lm_scoring.log_probabilities(shuffled, weights)[1].sum() < after - 1000
-    got = lm_scoring.score_lm(frame(spark, awkward()), weights).collect()
-    assert len(got) == len(awkward())
-    for r in got:
-        assert (r["mean_log_prob"] is None) == (r["n_words"] == 0)
-        assert r["log_prob"] <= 0
-    assert lm_scoring.score_lm(docs.limit(0), weights).collect() == []
-    assert lm_scoring.fit_lm(docs.limit(0), 1).shape == weights.shape
+    before, model = lm_scoring.fit_lm(docs, 0), lm_scoring.fit_lm(docs)
+    raw, at = bytescan.text_bytes(pa.array([t for _, t in rows]))
+    events = lm_scoring.Events(bytescan.Words(raw, at))
+    assert lm_scoring.class_log_probabilities(events, model.weights).sum() > lm_scoring.class_log_probabilities(events, before.weights).sum()
+    unseen = chains(190)[0][150:]
+    shuffled = [(k, " ".join(rnd.sample(t.split(), 60))) for k, t in unseen]
+    real, mixed = (sum(r["log_prob"] for r in lm_scoring.score_lm(frame(spark, x), model, docs).collect()) for x in (unseen, shuffled))
+    assert mixed < real - 1000
+    for split in (model.split, 40):  # hot last words are split
+        own = lm_scoring.fit_lm(docs, split=split)
+        got = lm_scoring.score_lm(frame(spark, awkward()), own, docs).collect()
+        assert len(got) == len(awkward()) and sorted(r["doc_id"] or -1 for r in got) == sorted(i or -1 for i, _ in awkward())
+        for r in got:
+            assert (r["mean_log_prob"] is None) == (r["n_words"] == 0)
+            assert r["log_prob"] <= 0
+        assert len({r["log_prob"] for r in got if r["doc_id"] == 0}) == 1
+        assert len(own.hot) == 0 if split == model.split else len(own.hot) > 20
+    assert lm_scoring.score_lm(docs.limit(0), model).collect() == []
+    empty = lm_scoring.fit_lm(docs.limit(0), 1)
+    assert empty.total == 0 and len(lm_scoring.score_lm(frame(spark, awkward()), empty).collect()) == len(awkward())
 
 
 def test_sample_does_not_depend_on_partitions(spark):

@@ -2,9 +2,10 @@
 
 Features are the presence of words and of word beginnings of 4 and 5 bytes (so that
 inflected forms share weight), identified by 64-bit hashes.  One weight vector
-is shared by ordered thresholds t1 < t2 < t3: P(grade >= k) = logistic(x.w - tk).
-Training is proximal gradient descent with an L1 penalty on a bounded sample of
-labelled documents (``max_labelled``); weights are evidence of toxicity and
+is shared by ordered thresholds t1 < t2 < t3: P(grade >= k) = logistic(x.w - tk), so
+P(grade = k) is the difference of two neighbours.  Training minimises the
+negative log likelihood of the grades by proximal gradient descent with an L1
+penalty on a bounded sample of labelled documents (``max_labelled``); weights are evidence of toxicity and
 can't be negative.  All but telling features get weight 0, so long documents
 gather no noise, and clean words can't hide toxic ones.
 
@@ -33,6 +34,8 @@ STEMS = (4, 5)
 GRADES = 3
 DECIDE = 0.4
 _GRADE_WORDS = (2, 5)
+#: Least distance of neighbouring thresholds.
+_APART = 1e-2
 _BITMAP_BITS = 22
 
 
@@ -82,6 +85,20 @@ def _untrained() -> SeverityModel:
     return SeverityModel(np.empty(0, np.uint64), np.empty(0), np.full(GRADES, 60.0))
 
 
+def ordinal_loss(z: np.ndarray, limits: np.ndarray, grade: np.ndarray, weight: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """Negative log likelihood of grades 0, 1, ... given linear scores, and its gradients by score and by threshold."""
+    n, k = len(z), len(limits)
+    above = np.ones((n, k + 2))  # P(grade >= k), from k = 0 to one beyond the last
+    above[:, 1:-1] = 1 / (1 + np.exp(-np.clip(z[:, None] - limits, -60, 60)))
+    above[:, -1] = 0
+    every = np.arange(n)
+    low, high = above[every, grade], above[every, grade + 1]
+    own = np.maximum(low - high, 1e-12)
+    slope = weight[:, None] * above[:, 1:-1] * (1 - above[:, 1:-1]) / own[:, None]
+    by_limit = (slope * (grade[:, None] == np.arange(1, k + 1))).sum(0) - (slope * (grade[:, None] == np.arange(k))).sum(0)
+    return float(-(weight * np.log(own)).sum()), weight * (low + high - 1), by_limit
+
+
 def train(text: pa.Array, toxic: np.ndarray, rounds: int = 250, l1: float = 1e-3, least_docs: int = 2) -> SeverityModel:
     """Fit shared weights and ordered thresholds."""
     if len(np.unique(toxic)) < 2:
@@ -117,20 +134,17 @@ def train(text: pa.Array, toxic: np.ndarray, rounds: int = 250, l1: float = 1e-3
     f, d = place[f[ok]], d[ok]
     w, limits = np.zeros(len(used)), np.array([1.0, 2.0, 3.0])
     seen_w, seen_l = np.full(len(used), 1e-6), np.full(GRADES, 1e-6)
-    goal = (grade[:, None] >= np.arange(1, GRADES + 1)).astype(float)
     weight = np.where(toxic == 1, 0.5 / max(toxic.sum(), 1), 0.5 / max((toxic == 0).sum(), 1))
     for _ in range(rounds):
         z = np.bincount(d, weights=w[f], minlength=n)
-        p = 1 / (1 + np.exp(-np.clip(z[:, None] - limits, -60, 60)))
-        # gradient of the cumulative logits; each threshold is a binary problem that shares w
-        error = (p - goal) * weight[:, None]
-        g = np.bincount(f, weights=error.sum(1)[d], minlength=len(used))
+        _, error, h = ordinal_loss(z, limits, grade, weight)
+        g = np.bincount(f, weights=error[d], minlength=len(used))
         seen_w += g * g
         step = 0.3 / np.sqrt(seen_w)
         w = np.maximum(w - step * (g + l1), 0)
-        h = -error.sum(0)
         seen_l += h * h
-        limits = np.maximum.accumulate(limits - 0.3 * h / np.sqrt(seen_l))
+        limits = limits - 0.3 * h / np.sqrt(seen_l)
+        limits = np.maximum.accumulate(limits - _APART * np.arange(GRADES)) + _APART * np.arange(GRADES)
     keep = np.flatnonzero(w)
     return SeverityModel(kinds[used[keep]], w[keep], limits)
 

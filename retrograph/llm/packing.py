@@ -6,14 +6,16 @@ exactly are enumerated; their repeat counts are fitted to the histogram of
 lengths by non-negative least squares, rounded, and lowered where they ask for
 more documents than there are.  What remains is packed best-fit, longest first,
 on the histogram.  The plan's size depends on ``UNITS`` alone, not on the data;
-documents find their bin from their rank within their length.
+documents find their bin from their rank within their length, by a hash of
+doc_id, piece and text first; the number of ranges of that hash depends on the
+number of pieces, so bins don't depend on partitions.
 
 Documents longer than the context are cut into pieces: full contexts and a
 rest.  All pieces of all documents are packed.
 
 Defined results: documents without tokens (null, empty, blank) are not packed;
 a null doc_id is packed and stays null in the list; repeated rows are packed as often as
-they occur; equal lengths are taken in order of doc_id and piece; an empty
+they occur, and take places that nothing tells apart; an empty
 table gives no bins; other columns are not read.
 """
 
@@ -33,6 +35,9 @@ from . import bytescan, common
 CONTEXT = 2048
 UNITS = 256
 MAX_PARTS = 3
+#: Pieces that a range of the hash has on average, beyond ``LEAST_RANGES`` ranges.
+RANGE_PIECES = 1 << 18
+LEAST_RANGES = 64
 
 Pattern = tuple[tuple[int, int], ...]
 
@@ -145,26 +150,27 @@ class Placement:
 
 
 def pieces(docs: DataFrame, context: int = CONTEXT, units: int = UNITS) -> DataFrame:
-    """doc_id, piece number, tokens of the piece, and its length in units."""
+    """doc_id, hash of the text, piece number, tokens of the piece, and its length in units."""
     unit = context // units
 
     def maker():
         def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             count = np.zeros(batch.num_rows, np.int64)
-            for lo, hi, raw, at in bytescan.chunks(batch.column(1)):
+            for lo, hi, raw, at in bytescan.chunks(batch.column(2)):
                 count[lo:hi] = bytescan.count_words(raw, at, marks=True)
             n = -(-count // context)
             row = np.repeat(np.arange(len(n)), n)
             piece = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             tokens = np.minimum(count[row] - piece * context, context)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(row)), pa.array(piece.astype(np.int32)), pa.array(tokens.astype(np.int32)), pa.array((-(-tokens // unit)).astype(np.int32))],
-                ["doc_id", "piece", "tokens", "units"],
+                [*(batch.column(c).take(pa.array(row)) for c in (0, 1)), pa.array(piece.astype(np.int32)), pa.array(tokens.astype(np.int32)), pa.array((-(-tokens // unit)).astype(np.int32))],
+                ["doc_id", "body", "piece", "tokens", "units"],
             )
 
         return step
 
-    return common.map_arrow(docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"]), maker, "doc_id bigint, piece int, tokens int, units int")
+    rows = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), F.xxhash64(docs["text"]).alias("body"), docs["text"])
+    return common.map_arrow(rows, maker, "doc_id bigint, body bigint, piece int, tokens int, units int")
 
 
 def pack(docs: DataFrame, context: int = CONTEXT, units: int = UNITS) -> DataFrame:
@@ -172,16 +178,16 @@ def pack(docs: DataFrame, context: int = CONTEXT, units: int = UNITS) -> DataFra
     if context % units:
         raise ValueError("context must be a multiple of units")
     spark = docs.sparkSession
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cut = pieces(docs, context, units).withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)).cast("int"))
-    cut = common.written(cut, "pieces")
+    cut = common.written(pieces(docs, context, units), "pieces")
+    ranges = max(LEAST_RANGES, 1 << (cut.count() // RANGE_PIECES).bit_length())
+    cut = cut.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "body"), F.lit(ranges)).cast("int"))
     counts = cut.groupBy("units", "shard").agg(F.count("*").alias("n"))
     histogram = np.zeros(units + 1, np.int64)
     for length, n in counts.groupBy("units").agg(F.sum("n")).collect():
         histogram[length] = n
     placement = spark.sparkContext.broadcast(Placement(plan(histogram)))
     before = counts.withColumn("before", F.sum("n").over(Window.partitionBy("units").orderBy("shard")) - F.col("n")).drop("n")
-    ranked = cut.withColumn("rank", F.row_number().over(Window.partitionBy("units", "shard").orderBy("doc_id", "piece")) - 1)
+    ranked = cut.withColumn("rank", F.row_number().over(Window.partitionBy("units", "shard").orderBy("doc_id", "piece", "body")) - 1)
     ranked = ranked.join(before, ["units", "shard"]).withColumn("rank", F.col("rank") + F.col("before")).select("doc_id", "piece", "tokens", "units", "rank")
 
     def maker():

@@ -150,6 +150,19 @@ def test_every_piece_is_packed_once_and_fits(spark, context, units):
     assert len(bins) <= 1.1 * least + 2
 
 
+def test_bins_do_not_depend_on_partitions(spark):
+    rows = awkward(3, 120) + [(None, words(random.Random(k), 9)) for k in range(20)] + [(5, "the same number"), (5, "of tokens and id")]
+    seen = []
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    for n in (2, 7):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        try:
+            seen.append(sorted(map(str, packing.pack(frame(spark, rows).repartition(n), 64, 16).collect())))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", was)
+    assert seen[0] == seen[1]
+
+
 def test_packing_of_nothing(spark):
     assert packing.pack(frame(spark, [])).collect() == []
     assert packing.pack(frame(spark, [(1, None), (2, " ")])).collect() == []

@@ -30,12 +30,14 @@ def prepare(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a local one is made only where none is set, as in tests."""
+    """The folder all executors share; where none is set, a local one is made if everything runs in one process."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         held = spark.sparkContext.getCheckpointDir()
         if held:
             return held
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         named = tempfile.mkdtemp(prefix="retrograph-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(named)
@@ -80,20 +82,22 @@ def keep_rows(df: DataFrame, text: str, make: Callable[[], Callable[[pa.Array],
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, limit: int, seed: int = 7, share: float = 0.5) -> tuple[pa.Array, np.ndarray]:
     """Texts and 0/1 labels of at most ``limit`` labelled documents, ``share`` of them of class 1 where there are so many.
 
-    The rows with the least hash of doc_id are taken, so the sample does not
-    depend on partitioning.  Repeated label rows of a document count once, with
-    the smaller label.  Only this bounded sample reaches the driver.
+    Of the labelled doc_ids that have a document, those with the least hash are
+    taken, so the sample does not depend on partitioning.  Repeated label rows
+    of a document count once, with the smaller label, and repeated documents
+    with the least text.  Only this bounded sample reaches the driver.
     """
     known = labels.select(F.col("doc_id").alias("__id"), F.col(label).cast("int").alias("__y")).where("__id is not null and __y in (0, 1)")
     known = known.groupBy("__id").agg(F.min("__y").alias("__y"))
+    texts = docs.select(F.col("doc_id").alias("__doc"), F.col("text").alias("__text"))
+    known = known.join(texts.select("__doc"), F.col("__id") == F.col("__doc"), "left_semi")
     order = F.xxhash64("__id", F.lit(seed))
     picked = None
     for y in (0, 1):
         part = known.where(F.col("__y") == y).orderBy(order, "__id").limit(round(limit * (share if y else 1 - share)))
         picked = part if picked is None else picked.union(part)
-    texts = docs.select(F.col("doc_id").alias("__doc"), F.col("text").alias("__text"))
-    rows = texts.join(F.broadcast(picked), F.col("__doc") == F.col("__id")).select("__id", "__text", "__y").toArrow()
-    rows = rows.sort_by([("__id", "ascending"), ("__text", "ascending")])
+    rows = texts.join(F.broadcast(picked), F.col("__doc") == F.col("__id")).groupBy("__id").agg(F.min("__text").alias("__text"), F.first("__y").alias("__y")).toArrow()
+    rows = rows.sort_by("__id")
     text = rows["__text"].combine_chunks()
     if isinstance(text, pa.ChunkedArray):
         text = text.chunk(0) if text.num_chunks else pa.array([], pa.string())

@@ -14,8 +14,8 @@ score is at least ``THRESHOLD``.  The rule is the same for every document.
 
 Defined results: a document without tokens (null, empty, blank) scores 0 and is
 kept; without trusted documents the two multinomials are equal, all scores are
-0; repeated rows count as often as they occur and score alike; a document is
-trusted if any label row of its doc_id is; null doc_id is never trusted; other
+0; repeated rows count as often as they occur and score alike; of repeated
+label rows of a doc_id the smaller label counts; null doc_id is never trusted; other
 columns are carried by ``filter_rules`` unread.
 """
 
@@ -73,7 +73,8 @@ def share_log_ratios(raw: np.ndarray, target: np.ndarray, share: float = PRIOR_S
 
 def _trusted_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Text of every document, and which half of the trusted ones it is in: 1 or 2, or 0 if it isn't trusted."""
-    trusted = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("bigint").alias("__trusted")).distinct()
+    known = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("bigint").alias("__trusted")).agg(F.min("quality").alias("__least"))
+    trusted = known.where("__least = 1").select("__trusted")
     if trusted.count() <= BROADCAST_IDS:
         trusted = F.broadcast(trusted)
     rows = docs.select(docs["doc_id"].cast("bigint").alias("__id"), docs["text"].alias("__text"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
 from urllib.parse import unquote
 
@@ -12,6 +13,7 @@ from ..operators import ngrams, pairs, stats
 from ..plans.policies import COUNT_SOURCES, ExportPolicy, NgramPolicy, SearchPolicy
 
 RAW, TOTALS, MARKS = "ngram_counts", "ngram_totals", "ngram_compactions"
+STAGING, BATCHES = "_staging", "_batches"
 COUNTS_SCHEMA = "text string, count bigint, norm_key string, lang string, corpus string, n int"
 MARKS_SCHEMA = "compacted_at timestamp, lang string, corpus string, n int"
 PARTITION = ["lang", "corpus", "n"]
@@ -20,8 +22,12 @@ PARTITION = ["lang", "corpus", "n"]
 class NgramStore:
     """Tables under ``root``, partitioned by language, corpus and size, so filters on these never open other files.
 
-    A compacted partition is valid while its mark is there.  Appending drops
-    marks and totals of the partitions it touched, after the rows are written.
+    A compacted partition is valid while its mark is there.  Rows are written to
+    a staging folder first and moved into the tables by renaming.  Appending
+    drops marks and totals of the partitions it touches before rows are moved,
+    and compacting makes marks last, so a job that breaks off leaves no mark of
+    totals that are out of date.  What an append costs depends on its own rows
+    and partitions, not on what the store holds.
     """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
@@ -48,7 +54,7 @@ class NgramStore:
 
     def partitions(self, name: str, lang: str | None = None, corpus: str | None = None, n: int = 0) -> dict[tuple[str, str, int], str]:
         """Folders of a table's partitions, from file names alone."""
-        found = self._fs.globStatus(self._path(f"{self.root}/{name}/lang=*/corpus=*/n=*"))
+        found = self._fs.globStatus(self._path(f"{self.root}/{name}/lang=*/corpus=*/n=*"))  # folders only
         out = {}
         for status in found or []:
             path = status.getPath().toString()
@@ -62,15 +68,40 @@ class NgramStore:
             if key in keys:
                 self._fs.delete(self._path(path), True)
 
-    def append(self, counts: DataFrame) -> int:
-        """Add partial counts; totals and marks of what they touch are dropped.  The number of rows."""
-        path = f"{self.root}/{RAW}"
-        before = self._rows(RAW)
-        counts.select("text", "count", "norm_key", *PARTITION).write.mode("append").partitionBy(*PARTITION).parquet(path)
-        after = self._rows(RAW)
-        touched = {k for k, n in after.items() if n != before.get(k, 0)}
-        self.invalidate(touched)
-        return sum(after.values()) - sum(before.values())
+    def _stage(self, rows: DataFrame, name: str) -> str:
+        """Write rows, partitioned, to a staging folder; one that is complete is kept as it is."""
+        stage = f"{STAGING}/{name}"
+        if not self._fs.exists(self._path(f"{self.root}/{stage}/_SUCCESS")):
+            rows.select("text", "count", "norm_key", *PARTITION).write.mode("overwrite").partitionBy(*PARTITION).parquet(f"{self.root}/{stage}")
+        return stage
+
+    def _move(self, stage: str, table: str) -> None:
+        """Move a staging folder's files into a table and delete the folder.  Moved files are gone from it, so this can be done again."""
+        for (lang, corpus, n), path in self.partitions(stage).items():
+            target = self._path(f"{self.root}/{table}/{path.split(f'{stage}/', 1)[1]}")
+            self._fs.mkdirs(target)
+            for status in self._fs.listStatus(self._path(path)):
+                file = status.getPath()
+                if not self._fs.rename(file, self._path(target, file.getName())):
+                    raise OSError(f"can't move {file.toString()} of {lang}, {corpus}, {n}")
+        self._fs.delete(self._path(f"{self.root}/{stage}"), True)
+
+    def append(self, counts: DataFrame, batch: str | None = None) -> int:
+        """Add partial counts; totals and marks of what they touch are dropped.  The number of rows.
+
+        A batch with a name is added once: if an earlier call broke off, this one
+        goes on with what it had staged, and if it was added, nothing happens.
+        """
+        done = self._path(f"{self.root}/{BATCHES}/{batch}")
+        if batch is not None and self._fs.exists(done):
+            return 0
+        stage = self._stage(counts, f"raw-{uuid.uuid4().hex if batch is None else batch}")
+        added = sum(self._rows(stage).values())
+        self.invalidate(set(self.partitions(stage)))
+        self._move(stage, RAW)
+        if batch is not None:
+            self._fs.mkdirs(done)
+        return added
 
     def _rows(self, name: str, lang: str | None = None, corpus: str | None = None, n: int = 0) -> dict[tuple[str, str, int], int]:
         """Rows of every partition, from the files' footers."""
@@ -84,24 +115,27 @@ class NgramStore:
         self._drop(MARKS, keys)
         self._drop(TOTALS, keys)
 
-    def add_documents(self, docs: DataFrame, policy: NgramPolicy = NgramPolicy(), *, reset: bool = False) -> int:
+    def add_documents(self, docs: DataFrame, policy: NgramPolicy = NgramPolicy(), *, reset: bool = False, batch: str | None = None) -> int:
         """Count documents (lang, corpus, text) and add the counts; ``reset`` first deletes what their corpora had."""
         if reset:
             for lang, corpus in docs.select("lang", "corpus").distinct().collect():
                 self.delete(lang, corpus)
-        return self.append(ngrams.count_ngrams(docs, policy))
+        return self.append(ngrams.count_ngrams(docs, policy), batch)
 
     def compact(self, lang: str, corpus: str, n: int = 0) -> int:
         """Sum up one size, or all sizes in one job; the number of rows made."""
         keys = set(self.partitions(RAW, lang, corpus, n))
-        self.invalidate(set(self.partitions(TOTALS, lang, corpus, n)) | keys)
+        old = set(self.partitions(TOTALS, lang, corpus, n)) | keys
         if not keys:
+            self.invalidate(old)
             return 0
-        rows = ngrams.select_counts(self.raw(), lang=lang, corpus=corpus, n=n)
-        rows.select("text", "count", "norm_key", *PARTITION).write.mode("append").partitionBy(*PARTITION).parquet(f"{self.root}/{TOTALS}")
+        stage = self._stage(ngrams.select_counts(self.raw(), lang=lang, corpus=corpus, n=n), f"totals-{uuid.uuid4().hex}")
+        made = sum(self._rows(stage).values())
+        self.invalidate(old)
+        self._move(stage, TOTALS)
         now = datetime.now(timezone.utc)
         self.spark.createDataFrame([(now, *k) for k in sorted(keys)], MARKS_SCHEMA).write.mode("append").partitionBy(*PARTITION).parquet(f"{self.root}/{MARKS}")
-        return sum(self._rows(TOTALS, lang, corpus, n).values())
+        return made
 
     def delete(self, lang: str, corpus: str | None = None) -> dict[str, int]:
         """Delete a language or one of its corpora; rows deleted of each table."""
@@ -132,8 +166,8 @@ class NgramStore:
         return ngrams.export_ngrams(self._table(name), policy, lang=lang, corpus=corpus, compacted=name == TOTALS)
 
     def _usable(self, lang: str, corpus: str, n: int) -> bool:
-        """For searches: with a size, whether totals have rows of it; else whether marks are complete."""
-        return n in self._sizes(TOTALS, lang, corpus) if n else self._all_compacted(lang, corpus)
+        """For searches: with a size, whether totals have rows of it and its mark; else whether marks are complete."""
+        return n in self._sizes(TOTALS, lang, corpus) & self._sizes(MARKS, lang, corpus) if n else self._all_compacted(lang, corpus)
 
     def search(self, policy: SearchPolicy) -> DataFrame:
         """Reverse-key pairs; which table is read is decided, and errors are raised, at once."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -20,16 +22,13 @@ def document_stream(spark: SparkSession, path: str, lang: str, corpus: str, fmt:
 def count_stream(docs: DataFrame, store: NgramStore, checkpoint: str, policy: NgramPolicy = NgramPolicy()) -> StreamingQuery:
     """Add what has arrived to the store, then stop.
 
-    The number of the last batch that was added is kept beside the checkpoint, so
-    a batch that is run again after a failure isn't counted twice.
+    Batches have names, from the checkpoint's and their number.  One that is run
+    again after a failure goes on where the store had got to with it, so it is
+    counted once wherever the failure was.
     """
-    marker = f"{checkpoint.rstrip('/')}/added"
+    name = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
 
     def add(batch: DataFrame, number: int) -> None:
-        path = store._path(f"{marker}/{number}")
-        if store._fs.exists(path):
-            return
-        store.add_documents(batch, policy)
-        store._fs.mkdirs(path)
+        store.add_documents(batch, policy, batch=f"{name}-{number}")
 
     return docs.writeStream.foreachBatch(add).option("checkpointLocation", f"{checkpoint.rstrip('/')}/state").trigger(availableNow=True).start()

@@ -149,6 +149,67 @@ def test_partition_filters_reach_the_scan(spark, store):
     assert all(f"isnotnull({c}#" in filters for c in ("lang", "corpus", "n"))
 
 
+class Stop(Exception):
+    pass
+
+
+@pytest.mark.parametrize("where", ["_stage", "invalidate", "_move", "_move_half"])
+def test_a_batch_that_breaks_off_is_added_once(spark, store, monkeypatch, where):
+    store.append(rows(spark, ("casa", 1), ("la casa", 1)))
+    store.compact("es", "test")
+    counts = rows(spark, ("casa", 2), ("la casa", 3), ("la casa azul", 4))
+    with monkeypatch.context() as m:
+
+        def stop(*args):
+            raise Stop
+
+        if where == "_move_half":  # some files are moved, others aren't
+
+            def half(stage, table):
+                for (_, _, n), path in store.partitions(stage).items():
+                    if n == 1:
+                        target = store._path(f"{store.root}/{table}/{path.split(f'{stage}/', 1)[1]}")
+                        for status in store._fs.listStatus(store._path(path)):
+                            assert store._fs.rename(status.getPath(), store._path(target, status.getPath().getName()))
+                raise Stop
+
+            m.setattr(store, "_move", half)
+        else:
+            m.setattr(store, where, stop)
+        with pytest.raises(Stop):
+            store.append(counts, "b-1")
+    for _ in range(2):
+        store.append(counts, "b-1")
+    assert dict(exported(store, "es", "test")) == {"casa": 3, "la casa": 4, "la casa azul": 4}
+    assert store.source("es", "test", 1) == RAW
+    store.append(counts, "b-2")
+    assert dict(exported(store, "es", "test"))["casa"] == 5
+
+
+def test_compaction_that_breaks_off_leaves_no_mark(spark, store, monkeypatch):
+    store.append(rows(spark, ("casa", 2)))
+    store.compact("es", "test")
+    store.append(rows(spark, ("casa", 3)))
+    for where in ("_stage", "invalidate", "_move"):
+        with monkeypatch.context() as m:
+            m.setattr(store, where, lambda *a: (_ for _ in ()).throw(Stop))
+            with pytest.raises(Stop):
+                store.compact("es", "test")
+        assert exported(store, "es", "test") == [("casa", 5)]
+        assert store.search(SearchPolicy("es", "test", "es", "test", 1, 1, source_n=1, target_n=1, include_palindromes=True)).count() == 0
+    store.compact("es", "test")
+    assert store.source("es", "test", 1) == TOTALS and exported(store, "es", "test") == [("casa", 5)]
+
+
+def test_append_reads_only_its_own_rows(spark, store, monkeypatch):
+    store.append(rows(spark, ("casa", 2), lang="en"))
+    read = []
+    table = store._table
+    monkeypatch.setattr(store, "_table", lambda name: read.append(name) or table(name))
+    store.append(rows(spark, ("casa", 2)))
+    assert all(name.startswith("_staging/") for name in read)
+
+
 def test_stream_adds_each_file_once(spark, store, tmp_path):
     folder, state = tmp_path / "in", str(tmp_path / "state")
     folder.mkdir()

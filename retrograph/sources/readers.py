@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 FORMATS = ("auto", "txt", "jsonl")
@@ -20,48 +20,77 @@ def _files(spark: SparkSession, path: str):
     return fs, where
 
 
-def corpus_files(spark: SparkSession, path: str, fmt: str = "auto") -> list[tuple[str, str]]:
-    """(file, format) of a file, or of a folder and all below it: jsonl before txt, each by depth and path."""
+def _formats(spark: SparkSession, path: str, fmt: str) -> list[str]:
+    """Formats to read of a file or folder, by the file's name; nothing is listed."""
     if fmt not in FORMATS:
         raise ValueError(f"unsupported format {fmt!r}")
     fs, where = _files(spark, path)
-
-    def kind(name: str) -> str | None:
-        if fmt != "auto":
-            return fmt
-        return next((k for k in ("jsonl", "txt") if name.endswith(f".{k}")), None)
-
     if fs.getFileStatus(where).isFile():
-        found = kind(where.getName())
+        if fmt != "auto":
+            return [fmt]
+        found = [k for k in ("jsonl", "txt") if path.endswith(f".{k}")]
         if not found:
             raise ValueError(f"can't tell the format of {path}")
-        return [(path, found)]
-    rows, it = [], fs.listFiles(where, True)
-    while it.hasNext():
-        name = it.next().getPath().toString()
-        for k in ("jsonl", "txt"):
-            if name.endswith(f".{k}") and fmt in ("auto", k):
-                rows.append((k, name.count("/"), name))
-    return [(name, k) for k, _, name in sorted(rows)]
+        return found
+    return ["jsonl", "txt"] if fmt == "auto" else [fmt]
+
+
+def numbered_lines(spark: SparkSession, path: str, fmt: str = "auto") -> DataFrame:
+    """file, kind, line, value: the lines of a file, or of a folder's files and all below it.
+
+    Spark lists the files and splits large ones.  A line's number is its place in
+    its split and the number of lines in the splits before it.
+    """
+    out = None
+    single = _files(spark, path)[0].getFileStatus(_files(spark, path)[1]).isFile()
+    for kind in _formats(spark, path, fmt):
+        reader = spark.read.option("recursiveFileLookup", True)
+        rows = (reader if single else reader.option("pathGlobFilter", f"*.{kind}")).text(path)
+        rows = rows.select("value", F.lit(kind).alias("kind"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"))
+        out = rows if out is None else out.union(rows)
+    splits = out.groupBy("file", "start").agg(F.count("*").alias("n"), F.min("at").alias("first"))
+    before = F.sum("n").over(Window.partitionBy("file").orderBy("start")) - F.col("n")
+    splits = splits.select("file", "start", (before - F.col("first") + 1).alias("shift"))
+    return out.join(splits, ["file", "start"]).select("file", "kind", (F.col("at") + F.col("shift")).alias("line"), "value")
+
+
+def _is_object(value: Column) -> Column:
+    read = F.from_json(value, "`\t` string, broken string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken"})
+    return F.ltrim(value).startswith("{") & read["broken"].isNull()
 
 
-def read_corpus(spark: SparkSession, path: str, fmt: str = "auto", field: str = "text") -> DataFrame:
+def invalid_json_lines(spark: SparkSession, path: str, fmt: str = "auto") -> DataFrame:
+    """file, line, value of lines of jsonl files that are neither blank nor JSON objects."""
+    rows = numbered_lines(spark, path, fmt).where("kind = 'jsonl' and trim(value) <> ''")
+    return rows.where(~_is_object(F.col("value"))).select("file", "line", "value")
+
+
+def read_corpus(spark: SparkSession, path: str, fmt: str = "auto", field: str = "text", limit_docs: int = 0) -> DataFrame:
     """text, file: a record for each line of txt files (blank ones too) and for each jsonl line whose field has text.
 
-    A jsonl line that isn't JSON fails the job.
+    A jsonl line that isn't JSON fails the job; ``invalid_json_lines`` says which
+    line it is.  With ``limit_docs`` only the first records are read: jsonl before
+    txt, files by depth and path, lines in order.
     """
-    files = corpus_files(spark, path, fmt)
+    single = _files(spark, path)[0].getFileStatus(_files(spark, path)[1]).isFile()
+    if limit_docs:
+        lines = numbered_lines(spark, path, fmt)
+        name = field.replace("`", "``")
+        held = F.from_json("value", f"`{name}` string", {"mode": "FAILFAST"})[field]
+        text = F.when(F.col("kind") == "txt", F.col("value")).when(F.trim("value") != "", held)
+        rows = lines.select("kind", "file", "line", text.alias("text")).where("kind = 'txt' or text <> ''")
+        depth = F.length("file") - F.length(F.replace("file", F.lit("/"), F.lit("")))
+        return rows.orderBy("kind", depth, "file", "line").limit(limit_docs).select("text", "file")
     out = None
-    for k in ("jsonl", "txt"):
-        names = [f for f, kind in files if kind == k]
-        if not names:
-            continue
-        if k == "txt":
-            rows = spark.read.text(names).select(F.col("value").alias("text"), F.col("_metadata.file_path").alias("file"))
+    for kind in _formats(spark, path, fmt):
+        reader = spark.read.option("recursiveFileLookup", True)
+        reader = reader if single else reader.option("pathGlobFilter", f"*.{kind}")
+        if kind == "txt":
+            rows = reader.text(path).select(F.col("value").alias("text"), F.col("_metadata.file_path").alias("file"))
         else:
-            rows = spark.read.schema(f"`{field}` string").option("mode", "FAILFAST").json(names).select(F.col(f"`{field}`").alias("text"), F.col("_metadata.file_path").alias("file")).where("text <> ''")
+            rows = reader.schema(f"`{field}` string").option("mode", "FAILFAST").json(path).select(F.col(f"`{field}`").alias("text"), F.col("_metadata.file_path").alias("file")).where("text <> ''")
         out = rows if out is None else out.union(rows)
-    return out if out is not None else spark.createDataFrame([], "text string, file string")
+    return out
 
 
 def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
@@ -69,10 +98,18 @@ def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.regexp_replace("value", r"(?U)^\s+|\s+$", "").alias("word")).where("word <> ''")
 
 
+def _objects(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """m: the JSON objects of files, one in each line, or else one in each file."""
+    lines = spark.read.text(path).where("trim(value) <> ''")
+    if lines.where(~_is_object(F.col("value"))).isEmpty():
+        return lines.select(F.from_json("value", kind, {"mode": "FAILFAST"}).alias("m"))
+    return spark.read.text(path, wholetext=True).select(F.from_json("value", kind, {"mode": "FAILFAST"}).alias("m"))
+
+
 def read_json_lexicon(spark: SparkSession, path: str) -> DataFrame:
     """form, source, lemma, pos, tag of one JSON object from forms to lists of analyses."""
     kind = "map<string, array<struct<source: string, lemma: string, pos: string, tag: string>>>"
-    rows = spark.read.option("wholetext", True).text(path).select(F.from_json("value", kind, {"mode": "FAILFAST"}).alias("m"))
+    rows = _objects(spark, path, kind)
     return rows.select(F.explode("m").alias("form", "held")).select("form", F.explode_outer("held").alias("a")).select("form", "a.*")
 
 
@@ -121,8 +158,8 @@ def read_embeddings(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_decompositions(spark: SparkSession, path: str) -> DataFrame:
-    """source, word_count, phrase of a JSON object word -> {count -> phrases}."""
-    rows = spark.read.option("wholetext", True).text(path).select(F.from_json("value", "map<string, map<string, array<string>>>").alias("m"))
+    """source, word_count, phrase of JSON objects word -> {count -> phrases}."""
+    rows = _objects(spark, path, "map<string, map<string, array<string>>>")
     rows = rows.select(F.explode("m").alias("source", "by_count")).select("source", F.explode("by_count").alias("n", "phrases"))
     return rows.select("source", F.col("n").cast("int").alias("word_count"), F.explode("phrases").alias("phrase"))
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
+from ..functions import text as T
+
 
 def _mode(force: bool) -> str:
     return "overwrite" if force else "errorifexists"
@@ -19,10 +21,10 @@ def write_tsv(df: DataFrame, path: str, force: bool = False, single: bool = Fals
 
 
 def write_decompositions(decomposed: DataFrame, path: str, force: bool = False) -> None:
-    """A JSON line for each source: {source: {word count: sorted phrases}}, in order of the sources."""
+    """A JSON line for each source: {source: {word count: sorted phrases}}, in order of the sources' keys, then of themselves."""
     by = decomposed.groupBy("source", "word_count").agg(F.sort_array(F.collect_set("phrase")).alias("phrases"))
     rows = by.groupBy("source").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.col("word_count").cast("string"), "phrases")))).alias("m"))
-    rows.orderBy("source").select(F.to_json(F.create_map("source", "m")).alias("value")).write.mode(_mode(force)).text(path)
+    rows.orderBy(T.norm_key(F.col("source")), "source").select(F.to_json(F.create_map("source", "m")).alias("value")).write.mode(_mode(force)).text(path)
 
 
 def write_lexicon(lexicon: DataFrame, path: str, force: bool = False) -> None:
@@ -31,15 +33,26 @@ def write_lexicon(lexicon: DataFrame, path: str, force: bool = False) -> None:
     rows.select(F.to_json(F.create_map("word", "pos")).alias("value")).write.mode(_mode(force)).text(path)
 
 
+def _renamed(spark: SparkSession, path: str, old: str, new: str) -> None:
+    """Give the files of a folder another ending, by which readers know their format."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in fs.listStatus(where):
+        file = status.getPath()
+        if file.getName().endswith(old):
+            fs.rename(file, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(where, file.getName().removesuffix(old) + new))
+
+
 def write_corpus_jsonl(rows: DataFrame, path: str, force: bool = False) -> None:
     """id, url, title, text as JSON lines, nulls written."""
     have = rows.columns
     rows.select(*(F.col(c) if c in have else F.lit(None).cast("string").alias(c) for c in ("id", "url", "title", "text"))).write.mode(_mode(force)).option("ignoreNullFields", False).json(path)
+    _renamed(rows.sparkSession, path, ".json", ".jsonl")
 
 
 def write_corpus_text(rows: DataFrame, path: str, force: bool = False) -> None:
     """Texts with a '# title' line before each that has a title; empty ones are left out."""
-    text, title = (F.trim(F.coalesce(c, F.lit(""))) for c in ("text", "title"))
+    text, title = (F.trim(F.coalesce(c, F.lit(""))) if c in rows.columns else F.lit("") for c in ("text", "title"))
     rows.where(text != "").select(F.concat(F.when(title != "", F.concat(F.lit("\n\n# "), title, F.lit("\n\n"))).otherwise(""), text).alias("value")).write.mode(_mode(force)).text(path)
 
 

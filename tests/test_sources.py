@@ -19,8 +19,10 @@ def test_corpus_files(spark, tmp_path):
     (tmp_path / "one.txt").write_text("uno\n\n")
     (tmp_path / "nested" / "two.txt").write_text("dos\n")
     (tmp_path / "b.jsonl").write_text('{"text": "tres"}\n\n{"text": ""}\n{"other": 1}\n')
-    names = [f.rsplit("/", 1)[1] for f, _ in readers.corpus_files(spark, str(tmp_path))]
-    assert names == ["b.jsonl", "one.txt", "two.txt"]
+    for k, want in enumerate((["tres"], ["tres", "uno"], ["tres", "uno", ""], ["tres", "uno", "", "dos"], ["tres", "uno", "", "dos"]), 1):
+        assert [r["text"] for r in readers.read_corpus(spark, str(tmp_path), limit_docs=k).collect()] == want
+    got = [(r["file"].rsplit("/", 1)[1], r["line"], r["value"]) for r in readers.numbered_lines(spark, str(tmp_path)).collect()]
+    assert sorted(got) == [("b.jsonl", 1, '{"text": "tres"}'), ("b.jsonl", 2, ""), ("b.jsonl", 3, '{"text": ""}'), ("b.jsonl", 4, '{"other": 1}'), ("one.txt", 1, "uno"), ("one.txt", 2, ""), ("two.txt", 1, "dos")]
     assert sorted(r["text"] for r in readers.read_corpus(spark, str(tmp_path)).collect()) == ["", "dos", "tres", "uno"]
     assert [r["text"] for r in readers.read_corpus(spark, str(tmp_path / "one.txt")).collect()] == ["uno", ""]
     with pytest.raises(FileNotFoundError):
@@ -30,6 +32,21 @@ def test_corpus_files(spark, tmp_path):
     (tmp_path / "bad.jsonl").write_text("{no\n")
     with pytest.raises(Exception, match="(?i)malformed|corrupt"):
         readers.read_corpus(spark, str(tmp_path / "bad.jsonl")).collect()
+    (tmp_path / "bad.jsonl").write_text('{"text": "a"}\n\n[1]\n{"text": "b"}\n{no\n')
+    assert [(r["line"], r["value"]) for r in readers.invalid_json_lines(spark, str(tmp_path / "bad.jsonl")).orderBy("line").collect()] == [(3, "[1]"), (5, "{no")]
+
+
+def test_line_numbers_of_files_that_are_split(spark, tmp_path):
+    (tmp_path / "long.txt").write_text("".join(f"line {k}\n" for k in range(1, 3001)))
+    (tmp_path / "short.txt").write_text("line 1\nline 2\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 5000)
+    try:
+        rows = readers.numbered_lines(spark, str(tmp_path))
+        assert rows.select(F.spark_partition_id()).distinct().count() > 2
+        assert rows.where(F.concat(F.lit("line "), "line") != F.col("value")).count() == 0
+        assert [r["text"] for r in readers.read_corpus(spark, str(tmp_path), limit_docs=1500).collect()] == [f"line {k}" for k in range(1, 1501)]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
 def test_pair_files(spark, tmp_path):
@@ -113,3 +130,33 @@ def test_cosine(spark):
     v = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 2.0]), (3, [1.0, 1.0]), (4, [0.0, 0.0])], "vec_id bigint, embedding array<float>")
     q = spark.createDataFrame([(9, [3.0, 0.0])], "query_id bigint, embedding array<float>")
     assert [(r["vec_id"], r["similarity"], r["rank"]) for r in vectors.top_k(q, v, 2).orderBy("rank").collect()] == [(1, 1.0, 1), (3, 0.707107, 2)]
+
+
+def test_cosine_against_a_slow_version(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    held = [(k, rng.integers(-3, 4, 5).astype(float).tolist()) for k in range(300)]
+    held += [(300, None), (301, [1.0, 2.0]), (302, [0.0] * 5), (303, [1.0, None, 1.0, 1.0, 1.0]), (None, [1.0] * 5), (304, [])]
+    frame = spark.createDataFrame(held, "vec_id bigint, embedding array<float>").repartition(5)
+    asked = [(k, e) for k, e in held if k is not None and k % 7 == 0]
+    queries = spark.createDataFrame(asked, "query_id bigint, embedding array<float>")
+    want = []
+    for q, e in asked:
+        if e is None or None in e or not any(e):
+            continue
+        near = [(-round(float(np.dot(e, x) / np.linalg.norm(e) / np.linalg.norm(x)), 9), k) for k, x in held if k is not None and x and len(x) == len(e) and None not in x and any(x)]
+        want += [(q, k, rank, round(-s, 6)) for rank, (s, k) in enumerate(sorted(near)[:4], 1)]
+    for block in (vectors.QUERY_BLOCK, 10):
+        monkeypatch.setattr(vectors, "QUERY_BLOCK", block)
+        got = sorted((r["query_id"], r["vec_id"], r["rank"], r["similarity"]) for r in vectors.top_k(queries, frame, 4).collect())
+        assert got == sorted(want)
+    assert vectors.top_k(queries.limit(0), frame, 4).collect() == []
+    assert vectors.top_k(queries, frame.limit(0), 4).collect() == []
+
+
+def test_encoders_are_loaded_in_tasks(spark):
+    def load():
+        return lambda texts: np.array([[len(t), t.count("a")] for t in texts])
+
+    words = spark.createDataFrame([("casa",), ("casa",), ("b",), (" ",), (None,)], "word string")
+    got = vectors.encode(words, load, batch=1, prefix="query: ").collect()
+    assert {(r["word"], tuple(r["embedding"])) for r in got} == {("casa", (11.0, 2.0)), ("b", (8.0, 0.0))}

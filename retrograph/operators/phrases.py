@@ -91,7 +91,7 @@ def prepared(pieces: DataFrame, policy: PhrasePolicy, zipf: DataFrame | None = N
         if zipf is None:
             out = out.withColumn(name, F.lit(0.0))
             continue
-        known = zipf.select(F.col("lang").alias(f"{side[0]}_lang"), F.col("token").alias("word"), "zipf")
+        known = zipf.groupBy(F.col("lang").alias(f"{side[0]}_lang"), F.col("token").alias("word")).agg(F.max("zipf").alias("zipf"))
         each = out.select("id", f"{side[0]}_lang", F.explode(words(F.col(f"{side}_text"))).alias("word")).join(known, [f"{side[0]}_lang", "word"])
         out = out.join(each.groupBy("id").agg(F.sum("zipf").alias(name)), "id", "left").withColumn(name, F.coalesce(name, F.lit(0.0)))
     rank = F.row_number().over(Window.orderBy(F.desc("quality"), "id"))  # at most piece_limit rows

@@ -51,13 +51,27 @@ def sub_ngrams(text: Column) -> Column:
     return F.flatten(F.transform(starts, lambda i: F.transform(F.sequence(F.lit(1), F.size(words) - i), lambda n: F.array_join(F.slice(words, i + 1, n), " "))))
 
 
+#: Words of a list that is compared with every row in place; beyond it texts are joined.
+LIST_IN_PLACE = 1000
+
+
 def drop_listed(pairs: DataFrame, listed: DataFrame, side: str) -> DataFrame:
     """Pairs whose text on that side holds no stretch of words from ``listed`` (a column ``word``); case counts.
 
-    Only distinct texts are spread into stretches; two joins by equality give
-    the texts to drop and then the pairs that stay.
+    A short list is compared with each row where it is, without a shuffle.  For
+    a long one only distinct texts are spread into stretches; two joins by
+    equality give the texts to drop and then the pairs that stay.
     """
     column = f"{side}_text"
+    words = [r[0] for r in listed.select("word").where("word is not null").distinct().limit(LIST_IN_PLACE + 1).collect()]
+    if len(words) <= LIST_IN_PLACE:
+        # stretches of words are what lies between blanks of the text with single blanks around its words
+        spaced = F.concat(F.lit(" "), F.array_join(F.filter(F.split(column, T.WHITE), lambda w: w != ""), " "), F.lit(" "))
+        whole = [w for w in words if w and w == " ".join(w.split(" ")) and not w.startswith(" ") and not w.endswith(" ")]
+        if not whole:
+            return pairs
+        rows = pairs.withColumn("__spaced", spaced)
+        return rows.where(~F.exists(F.array(*map(F.lit, whole)), lambda w: F.contains("__spaced", F.concat(F.lit(" "), w, F.lit(" ")))) | F.col("__spaced").isNull()).drop("__spaced")
     texts = pairs.select(F.col(column).alias("__text")).distinct()
     spread = texts.select("__text", F.explode(sub_ngrams(F.col("__text"))).alias("__part"))
     bad = spread.join(listed.select(F.col("word").alias("__part")).distinct(), "__part", "left_semi").select("__text").distinct()
@@ -78,6 +92,19 @@ def filter_pairs(pairs: DataFrame, source_words: DataFrame | None = None, target
     return pairs
 
 
+def in_view_order(listed: DataFrame) -> DataFrame:
+    """The list with words of few tokens first, then short ones, then by themselves."""
+    tokens = F.size(F.filter(F.split("word", T.WHITE), lambda w: w != ""))
+    return listed.orderBy(tokens, F.length("word"), "word")
+
+
+def common_words(words: DataFrame, zipf: DataFrame, lang: str, threshold: float = 3.0) -> DataFrame:
+    """Words whose frequency in ``zipf`` (lang, token, zipf) reaches the threshold; words that aren't there have 0."""
+    known = zipf.where(F.col("lang") == lang).groupBy(F.lower("token").alias("__token")).agg(F.max("zipf").alias("__zipf"))
+    rows = words.join(known, F.lower("word") == F.col("__token"), "left")
+    return rows.where(F.coalesce("__zipf", F.lit(0.0)) >= threshold).select(*words.columns)
+
+
 def add_words(listed: DataFrame, new: DataFrame) -> DataFrame:
     """The list with those new words that it doesn't have."""
     fresh = new.select("word").where("trim(word) <> ''").distinct()

@@ -37,6 +37,14 @@ def table_counts(raw: DataFrame, compacted: DataFrame, marks: DataFrame, lang: s
     return parts[0].union(parts[1]).union(parts[2])
 
 
+def compacted_counts(raw: DataFrame) -> DataFrame:
+    """What ``table_counts`` would give if all raw rows were compacted as one corpus, in one pass over them."""
+    texts = raw.groupBy("lang", "n", "text").agg(F.count("*").alias("parts"))
+    by = texts.groupBy("lang", "n").agg(F.sum("parts").alias("parts"), F.count("*").alias("texts"))
+    held = by.agg(*(F.coalesce(x, F.lit(0)).cast("bigint").alias(n) for n, x in (("ngram_counts", F.sum("parts")), ("ngram_totals", F.sum("texts")), ("ngram_compactions", F.count("*")))))
+    return held.select(F.explode(F.create_map(*(x for n in held.columns for x in (F.lit(n), F.col(n))))).alias("table_name", "row_count"))
+
+
 def sizes(counts: DataFrame) -> DataFrame:
     """The n-gram sizes there are, of each language and corpus."""
     return counts.select("lang", "corpus", "n").distinct()

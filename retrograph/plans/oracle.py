@@ -54,15 +54,16 @@ def chunks(source: str) -> str:
 chunked AS (SELECT * FROM (SELECT lang, corpus, trim(unnest(regexp_split_to_array(c, '[.!?;:¡¿…]+'))) AS chunk FROM cleaned WHERE NOT starts_with(c, '#')) WHERE chunk <> '')"""
 
 
-def counts(source: str, stopwords: bool = True) -> str:
-    """CTEs up to ``counts`` (lang, corpus, text, n, count, norm_key)."""
+def counts(source: str, stopwords: bool = True, paired: bool = False) -> str:
+    """CTEs up to ``counts`` (lang, corpus, text, n, count, norm_key); with ``paired`` only of texts whose reversed key there is."""
     some = f"AND len(list_filter(w, lambda x: NOT list_contains({by_language(L.STOPWORDS, 'lang')}, {plain('x')}))) > 0" if stopwords else ""
     return f"""{chunks(source)},
-words AS (SELECT lang, corpus, regexp_extract_all(lower(chunk), '{_WORD}') AS t FROM chunked),
-spread AS (SELECT lang, corpus, unnest(flatten([[array_to_string(t[i:i + n - 1], ' ') FOR i IN range(1, len(t) - n + 2)] FOR n IN [1, 2, 3]])) AS text FROM words),
+words AS MATERIALIZED (SELECT lang, corpus, regexp_extract_all(lower(chunk), '{_WORD}') AS t FROM chunked),
+spread AS (SELECT lang, corpus, unnest(t || [t[i] || ' ' || t[i + 1] FOR i IN range(1, len(t))] || [t[i] || ' ' || t[i + 1] || ' ' || t[i + 2] FOR i IN range(1, len(t) - 1)]) AS text FROM words),
 occurring AS (SELECT lang, corpus, text, count(*) AS count FROM spread GROUP BY ALL),
-apart AS (SELECT *, string_split(text, ' ') AS w FROM occurring),
-counts AS (SELECT lang, corpus, text, CAST(len(w) AS INTEGER) AS n, CAST(count AS BIGINT) AS count, {key("text")} AS norm_key FROM apart
+{"keyed AS MATERIALIZED (SELECT *, " + key("text") + " AS found_key FROM occurring WHERE length(replace(text, ' ', '')) >= 3)," if paired else ""}
+apart AS (SELECT *, string_split(text, ' ') AS w FROM {"keyed WHERE found_key IN (SELECT reverse(found_key) FROM keyed)" if paired else "occurring"}),
+counts AS MATERIALIZED (SELECT lang, corpus, text, CAST(len(w) AS INTEGER) AS n, CAST(count AS BIGINT) AS count, {key("text")} AS norm_key FROM apart
   WHERE len(list_filter(w, lambda x: length(x) > 30 OR (length(x) < 2 AND NOT list_contains({by_language(L.ONE_LETTER, 'lang')}, {plain('x')})))) = 0
   AND length(replace(text, ' ', '')) >= 3 {some})"""
 

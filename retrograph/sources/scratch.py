@@ -8,9 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a local one only where none is set, as in tests."""
+    """The folder named by spark.checkpoint.dir; where none is set, a local one if everything runs in one process."""
     held = spark.sparkContext.getCheckpointDir()
-    named = spark.conf.get("spark.checkpoint.dir", None) or held or tempfile.mkdtemp(prefix="retrograph-")
+    named = spark.conf.get("spark.checkpoint.dir", None) or held
+    if not named:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        named = tempfile.mkdtemp(prefix="retrograph-")
     if not held:
         spark.sparkContext.setCheckpointDir(named)
     return named

@@ -53,7 +53,7 @@ BLOCK = 2000
 BROADCAST_IDS = 2_000_000
 
 _MASK = np.uint64(2**48 - 1)
-_FLUSH = 5_000_000
+_FLUSH = 1_500_000
 
 
 def gram_sets(raw: np.ndarray, at: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -155,6 +155,7 @@ def _explode_sets(texts: DataFrame, n: int, parts: int) -> DataFrame:
         def flush() -> Iterator[pa.RecordBatch]:
             keys, first, copies = np.unique(np.concatenate([h[0] for h in held]), return_index=True, return_counts=True)
             count, tokens = np.concatenate([h[1] for h in held]), np.concatenate([h[2] for h in held])
+            held.clear()
             own = np.zeros(len(count), bool)
             own[first] = True
             tokens = tokens[np.repeat(own, count)]
@@ -166,7 +167,6 @@ def _explode_sets(texts: DataFrame, n: int, parts: int) -> DataFrame:
             for p in np.unique(home):
                 at = home == p
                 rows.append((parts + int(p), 1, b"".join(x.astype("<i8").tobytes() for x in (keys[at], count[at], copies[at]))))
-            held.clear()
             yield from _rows(rows).to_batches()
 
         for batch in batches:
@@ -202,10 +202,11 @@ def _count_shared(packed: DataFrame, parts: int) -> DataFrame:
             keep[first] = True
             tokens, keys, count = tokens[np.repeat(keep, count)], keys[keep], count[keep]
         doc = np.repeat(np.arange(len(keys), dtype=np.int32), count)
-        order = np.argsort(tokens)
+        order = np.argsort(tokens).astype(np.int32)
         ranked = tokens[order]
         new = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
-        df = np.diff(np.concatenate((new, [len(ranked)])))
+        df = np.diff(np.concatenate((new, [len(ranked)]))).astype(np.int32)
+        del ranked
         many = np.repeat(df > 1, df)
         at, df = order[many], np.repeat(df, df)[many]
         back = np.lexsort((tokens[at], doc[at]))

@@ -109,22 +109,26 @@ def train(text: pa.Array, toxic: np.ndarray, rounds: int = 250, l1: float = 1e-3
         top = base
         for name, word, row in _features(raw, at):
             names.append(name)
-            rows.append(row + lo)
-            words.append(word + base)
+            rows.append((row + lo).astype(np.int32))
+            words.append((word + base).astype(np.int32))
             top = max(top, base + len(name))
         base = top
-    names, rows, words = np.concatenate(names), np.concatenate(rows), np.concatenate(words)
-    kinds, feature = np.unique(names, return_inverse=True)
+    rows, words = np.concatenate(rows), np.concatenate(words)
+    kinds = np.unique(np.concatenate([np.unique(x) for x in names]))
+    feature = np.concatenate([np.searchsorted(kinds, x).astype(np.int32) for x in names])
+    names.clear()
     n = len(toxic)
-    code = np.unique(feature * n + rows)
-    f, d = code // n, code % n
+    code = np.unique(feature * np.int64(n) + rows)
+    f, d = (x.astype(np.int32) for x in (code // n, code % n))
+    del code
     in_toxic = np.bincount(f[toxic[d] == 1], minlength=len(kinds))
     in_clean = np.bincount(f[toxic[d] == 0], minlength=len(kinds))
     odds = np.log((in_toxic + 0.5) / (toxic.sum() + 1)) - np.log((in_clean + 0.5) / ((toxic == 0).sum() + 1))
     marked = (odds > 2) & (in_toxic >= least_docs)
     telling = np.unique(words[marked[feature]])
-    home = np.zeros(base, np.int64)
+    home = np.zeros(base, np.int32)
     home[words] = rows
+    del feature, words, rows
     count = np.bincount(home[telling], minlength=n)
     grade = np.where(toxic == 1, 1 + np.searchsorted(_GRADE_WORDS, count, side="left"), 0)
     used = np.flatnonzero(in_toxic + in_clean >= least_docs)

@@ -44,12 +44,24 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Write a table into the shared folder and read it again: lineage ends there and nothing is computed twice."""
+def stored(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """Write a table into the shared folder and read it again: lineage ends there and nothing is computed twice.  Also its path."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """A table that stays in the shared folder, as the result is read from it."""
+    return stored(df, label)[0]
+
+
+def dropped(spark: SparkSession, *paths: str) -> None:
+    """Delete stored tables that nothing reads any more."""
+    for path in paths:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]], schema: str | StructType) -> DataFrame:

@@ -300,14 +300,14 @@ def _union(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return root
 
 
-def components(edges: DataFrame, label: str = "components") -> DataFrame:
-    """Connected components of edges (a, b): (node, root), root being the least node; single nodes don't appear.
+def components(edges: DataFrame, label: str = "components") -> tuple[DataFrame, str]:
+    """Connected components of edges (a, b): (node, root), root being the least node; single nodes don't appear.  Also where they are stored.
 
     Alternates large-star and small-star steps until no edge changes; each
     round is written to the shared folder.  A node's least neighbour is found
     by an aggregate, so the edges of a hub need not come together in one task.
     """
-    edges = common.written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), label)
+    edges, path = common.stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), label)
     state = None
     while True:
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
@@ -319,8 +319,10 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         large = large.select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct()
         small = large.join(large.groupBy("a").agg(F.min("b").alias("m")), "a")
         small = small.select("a", F.col("m").alias("b")).union(small.select(F.col("b").alias("a"), F.col("m").alias("b"))).where("a <> b").distinct()
-        edges = common.written(small, label)
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+        old = path
+        edges, path = common.stored(small, label)
+        common.dropped(edges.sparkSession, old)
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")), path
 
 
 def join_block(sizes: np.ndarray, sets: list[np.ndarray], threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -427,16 +429,18 @@ def _joined(sets: DataFrame, roots: DataFrame, threshold: float, parts: int, pai
     return routed.groupBy("part").applyInArrow(run, "a bigint, b bigint, value double")
 
 
-def _search(texts: DataFrame, n: int, threshold: float, pairs: bool) -> DataFrame:
-    """What ``_joined`` gives for texts (node, text); a node may occur again with the same text."""
+def _search(texts: DataFrame, n: int, threshold: float, pairs: bool) -> tuple[DataFrame, str]:
+    """What ``_joined`` gives for texts (node, text), and where it is stored; a node may occur again with the same text."""
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be above 0 and at most 1")
     spark = texts.sparkSession
     common.prepare(spark)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), texts.rdd.getNumPartitions())
-    sets = common.written(_ordered_sets(_count_shared(_explode_sets(texts, n, parts), parts), threshold), "ngram-sets")
-    roots = components(_links(sets, threshold, parts), "ngram-links")
-    return common.written(_joined(sets, roots, threshold, parts, pairs), "ngram-found")
+    sets, own = common.stored(_ordered_sets(_count_shared(_explode_sets(texts, n, parts), parts), threshold), "ngram-sets")
+    roots, links = components(_links(sets, threshold, parts), "ngram-links")
+    found = common.stored(_joined(sets, roots, threshold, parts, pairs), "ngram-found")
+    common.dropped(spark, own, links)
+    return found
 
 
 def _bounded(df: DataFrame) -> DataFrame:
@@ -456,8 +460,8 @@ _LEAST = "struct(id IS NULL, id, node)"
 def _classes(rows: DataFrame, n: int, threshold: float) -> DataFrame:
     """For each doc_id and text that has links or copies: how often it occurs, the links of each of its rows, and the class's first."""
     texts = rows.where("node is not null").select("node", F.col("row.text").alias("text"))
-    found = _search(texts, n, threshold, False)
-    groups = components(found.where("b is not null").select("a", "b"), "ngram-groups")
+    found, path = _search(texts, n, threshold, False)
+    groups, grouped = components(found.where("b is not null").select("a", "b"), "ngram-groups")
     links = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("value").cast("bigint").alias("links"))
     near = _bounded(groups.join(links, "node", "full").select("node", F.coalesce("root", "node").alias("root"), "links"))
     held = rows.where("node is not null").groupBy("id", "node").agg(F.count("*").alias("rows"))
@@ -465,6 +469,7 @@ def _classes(rows: DataFrame, n: int, threshold: float) -> DataFrame:
     texts = copies.join(near, "node", "left").where("links is not null or copies > 1")
     texts = texts.select("node", "least", F.coalesce("root", "node").alias("root"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
     texts = common.written(texts, "ngram-texts")
+    common.dropped(rows.sparkSession, path, grouped)
     first = texts.groupBy("root").agg(F.min("least").alias("first"))
     return held.join(_bounded(texts.join(first, "root").select("node", "links", "first")), "node")
 
@@ -494,7 +499,7 @@ def jaccard_pairs(docs: DataFrame, n: int = N, threshold: float = THRESHOLD) ->
     """Pairs of different texts that reach the threshold, each named by the least doc_id of its rows, with the similarity rounded to 6 digits."""
     rows = _named(docs)
     texts = rows.where("node is not null")
-    pairs = _search(texts.select("node", F.col("row.text").alias("text")), n, threshold, True)
+    pairs, _ = _search(texts.select("node", F.col("row.text").alias("text")), n, threshold, True)
     names = _bounded(texts.groupBy("node").agg(F.min("id").alias("id")).join(pairs.select("a").union(pairs.select("b")).distinct(), F.col("a") == F.col("node"), "left_semi"))
     for side in ("a", "b"):
         pairs = pairs.join(names.select(F.col("node").alias(side), F.col("id").alias(f"id_{side}")), side)

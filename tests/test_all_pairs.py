@@ -4,12 +4,12 @@ import pytest
 
 from retrograph.plans import queries
 
-WORDS = ["".join(w) for w in itertools.islice(itertools.product("bcdfghjklm", repeat=4), 0, None, 3) if w != w[::-1]][: queries.PIECES + 300]
+WORDS = ["".join(w) for w in itertools.islice(itertools.product("bcdfghjklm", repeat=4), 0, None, 3) if w != w[::-1]][:2300]
 
 
 @pytest.fixture(scope="module")
 def folder(spark, tmp_path_factory):
-    """More pairs than PIECES; the rarest have a target of two words, and so the greatest numbers."""
+    """Thousands of pairs; the rarest have a target of two words, and so the greatest numbers."""
     path = str(tmp_path_factory.mktemp("pairs"))
     rows = [(lang, "s", "\n".join(f"{w}." for w in (WORDS if lang == "es" else [x[::-1] for x in WORDS]) for _ in range(2))) for lang in ("es", "en")]
     rows += [("es", "s", "qzvtx."), ("en", "s", "xt vzq.")]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,13 +67,17 @@ def drop_listed(pairs: DataFrame, listed: DataFrame, side: str) -> DataFrame:
     column = f"{side}_text"
     words = [r[0] for r in listed.select("word").where("word is not null").distinct().limit(LIST_IN_PLACE + 1).collect()]
     if len(words) <= LIST_IN_PLACE:
-        # stretches of words are what lies between blanks of the text with single blanks around its words
-        spaced = F.concat(F.lit(" "), F.array_join(F.filter(F.split(column, T.WHITE), lambda w: w != ""), " "), F.lit(" "))
-        whole = [w for w in words if w and w == " ".join(w.split(" ")) and not w.startswith(" ") and not w.endswith(" ")]
+        # stretches of words are what lies between blanks of the text with one blank around each word
+        spaced = F.concat(F.lit(" "), F.regexp_replace(column, T.WHITE, " "), F.lit(" "))
+        whole = [f" {w} " for w in words if w and not w.startswith(" ") and not w.endswith(" ") and "  " not in w]
         if not whole:
             return pairs
         rows = pairs.withColumn("__spaced", spaced)
-        return rows.where(~F.exists(F.array(*map(F.lit, whole)), lambda w: F.contains("__spaced", F.concat(F.lit(" "), w, F.lit(" ")))) | F.col("__spaced").isNull()).drop("__spaced")
+        if len(whole) <= 50:
+            listed_in = reduce(lambda a, b: a | b, (F.col("__spaced").contains(w) for w in whole))
+        else:
+            listed_in = F.exists(F.array(*map(F.lit, whole)), lambda w: F.contains("__spaced", w))
+        return rows.where(~listed_in | F.col("__spaced").isNull()).drop("__spaced")
     texts = pairs.select(F.col(column).alias("__text")).distinct()
     spread = texts.select("__text", F.explode(sub_ngrams(F.col("__text"))).alias("__part"))
     bad = spread.join(listed.select(F.col("word").alias("__part")).distinct(), "__part", "left_semi").select("__text").distinct()

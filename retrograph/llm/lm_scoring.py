@@ -21,9 +21,11 @@ to the sum over its class is added to the sum of the one that it refines.  Each
 event is left out of the counts that its own features aim at, and words that
 occur once give their share to words that are not known.
 
-A last word with more than ``SPLIT`` events is split by a hash of the word
-before, and beyond eight times that also by a hash of the document's text, into
-features of their own; so no task holds a whole hot word.
+Nothing is shared between classes, so a last word with more than ``SPLIT``
+events goes to a task for each class of the next word, with the same results.  A
+task with more than ``PART_EVENTS`` events keeps them in local files and goes
+through them in slices of whole contexts; what the slices share are only the
+distinct pairs of words.  Scores so depend on no limit of this kind.
 
 Scoring sums log probabilities per document in sparse numpy batches.
 
@@ -35,7 +37,11 @@ Sums of floats may differ in the last digits with the partitioning.
 
 from __future__ import annotations
 
+import os
+import pickle
+import tempfile
 from collections.abc import Iterator
+from contextlib import ExitStack
 from dataclasses import dataclass
 
 import numpy as np
@@ -57,6 +63,8 @@ BLOCK_WORDS = 2_000_000
 #: Words whose events one task trains on and scores.
 PART_WORDS = 1_000_000
 SPLIT = 500_000
+#: Events that a task holds in memory at once.
+PART_EVENTS = 2_000_000
 #: Ranges of rows, and of words, that are added up apart from one another.
 RANGES = 40
 
@@ -253,7 +261,7 @@ class Model:
     bits: int
     #: Log probability of each word within its class.
     share: np.ndarray
-    #: Words with more than ``split`` events, and how many each has.
+    #: Words with more than ``split`` events, which are shared out by class, and how many each has.
     hot: np.ndarray
     times: np.ndarray
     split: int
@@ -304,43 +312,53 @@ def class_log_probabilities(events: Events, weights: np.ndarray) -> np.ndarray:
     return out
 
 
-def word_log_probabilities(group: np.ndarray, before: np.ndarray, word: np.ndarray, counted: np.ndarray, share: np.ndarray, rounds: int = WORD_ROUNDS) -> np.ndarray:
-    """Log probability of each event's word within its class.
+def _runs(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of equal keys begin, and the run of each place."""
+    new = np.zeros(len(keys[0]), bool)
+    new[0] = True
+    for k in keys:
+        new[1:] |= k[1:] != k[:-1]
+    return np.flatnonzero(new), np.cumsum(new, dtype=np.int32) - 1
 
-    ``group`` numbers the last words from 0; ``counted`` is 1 for the events
-    that features are counted and trained on, 0 for those only to be scored.
-    """
-    if not len(group):
-        return np.zeros(0)
-    per = len(share) // CLASSES
 
-    def runs(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where runs of equal keys begin, and the run of each place."""
-        new = np.zeros(len(keys[0]), bool)
-        new[0] = True
-        for k in keys:
-            new[1:] |= k[1:] != k[:-1]
-        return np.flatnonzero(new), np.cumsum(new, dtype=np.int32) - 1
+def _numbered(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in ascending order, and which of them each place has."""
+    ranked = np.argsort(key, kind="stable")
+    at, run = _runs(key[ranked])
+    which = np.empty(len(key), np.int32)
+    which[ranked] = run
+    return key[ranked[at]], which
+
 
-    context = (group.astype(np.int64) << 24) | before.astype(np.int64)
+def _kinds(context: np.ndarray, word: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (context, word) in ascending order, how often each counts, and which of them each place has."""
     order = np.lexsort((word, context)).astype(np.int32)
     context, word = context[order], word[order]
-    at, of = runs(context, word)  # distinct (last, before, word)
-    n = np.add.reduceat(counted[order].astype(np.float64), at)
-    context, word = context[at], word[at].astype(np.int64)
-    # (context, class), and (last, word) within (last, class)
-    cell_at, cell = runs(context, word // per)
-    pair = ((context >> 24) << 24) | word
-    ranked = np.argsort(pair, kind="stable")
-    pair_at, number = runs(pair[ranked])
-    two = np.empty(len(pair), np.int64)
-    two[ranked] = number
-    pair = pair[ranked][pair_at]
-    pair_n = np.bincount(two, n, len(pair))
-    base_at, base = runs((pair >> 24) * CLASSES + (pair & 0xFFFFFF) // per)
-    base_n = np.bincount(base, pair_n)
-    cell_n, cell_base = np.bincount(cell, n), base[two[cell_at]]
+    at, run = _runs(context, word)
+    which = np.empty(len(run), np.int32)
+    which[order] = run
+    return context[at], word[at].astype(np.int64), np.add.reduceat(n[order].astype(np.float64), at), which
+
+
+def _fit_words(kept: dict | _Files, slices: int, share: np.ndarray, rounds: int) -> None:
+    """Train on slices of whole contexts, and replace each by the log probabilities of its kinds of events.
 
+    ``kept`` has the kinds of each slice by its number.  Weights of (last, word)
+    belong to all slices, those of (last, before, word) to one.
+    """
+    per = len(share) // CLASSES
+    pair, pair_n = np.empty(0, np.int64), np.empty(0)
+    for i in range(slices):
+        context, word, n = kept[i]
+        own, two = _numbered(((context >> 24) << 24) | word)
+        kept[i] = context, word, n, own, two
+        own_n = np.bincount(two, n)
+        pair, number = _numbered(np.concatenate((pair, own)))
+        pair_n = np.bincount(number, np.concatenate((pair_n, own_n)))
+        del context, word, n, own, two, own_n, number
+    # (last, word) within (last, class)
+    _, base = _runs((pair >> 24) * CLASSES + (pair & 0xFFFFFF) // per)
+    base_n = np.bincount(base, pair_n)
     q = np.exp(share[pair & 0xFFFFFF].astype(np.float64))
 
     def begin(seen: np.ndarray, prior: np.ndarray, whole: np.ndarray, part: np.ndarray, pull: float) -> np.ndarray:
@@ -349,42 +367,139 @@ def word_log_probabilities(group: np.ndarray, before: np.ndarray, word: np.ndarr
         left, rest = (np.maximum(1 - np.bincount(part, x, len(whole)), 1e-6) for x in (p, prior))
         return np.log(p / prior * (rest / left)[part])
 
-    kept = np.flatnonzero(pair_n >= 2)
+    one = np.flatnonzero(pair_n >= 2)
     weight = np.zeros(len(pair))
-    weight[kept] = begin(pair_n[kept], q[kept], base_n, base[kept], PULL[0])
-    fine = np.flatnonzero(n >= 2)
-    fine_two, fine_cell = two[fine], cell[fine]
+    weight[one] = begin(pair_n[one], q[one], base_n, base[one], PULL[0])
+    others = np.maximum(1 - np.bincount(base[one], q[one], len(base_n)), 1e-6)
+    for k in range(rounds + 1):
+        value = q * np.exp(weight)
+        z = others + np.bincount(base[one], value[one], len(base_n))
+        rates, refined = np.zeros(len(base_n)), np.zeros(len(pair))
+        for i in range(slices):
+            if k == 0:
+                context, word, n, own, two = kept[i]
+                two = np.searchsorted(pair, own).astype(np.int32)[two]
+                cell_at, cell = _runs(context, word // per)  # (context, class)
+                fine = np.flatnonzero(n >= 2)
+                cell_n, fine_n = np.bincount(cell, n), n[fine]
+                refine = begin(fine_n, value[two[fine]] / z[base[two[fine]]], cell_n, cell[fine], PULL[1])
+                state = two, cell, cell_n, base[two[cell_at]], fine.astype(np.int32), fine_n, share[word]
+                del context, word, n, own, cell_at
+            else:
+                *state, refine = kept[i]
+            two, cell, cell_n, cell_base, fine, fine_n, prior = state
+            fine_two, fine_cell = two[fine], cell[fine]
+            more = np.expm1(refine)
+            whole = np.maximum(z[cell_base] + np.bincount(fine_cell, value[fine_two] * more, len(cell_n)), 1e-12)
+            if k == rounds:
+                score = prior.astype(np.float64) + weight[two] - np.log(whole)[cell]
+                score[fine] += refine
+                kept[i] = score
+                continue
+            rate = cell_n / whole
+            rates += np.bincount(cell_base, rate, len(base_n))
+            refined += np.bincount(fine_two, rate[fine_cell] * more, len(pair))
+            fine_aim, fine_expected = fine_n - 1, rate[fine_cell] * value[fine_two] * (more + 1)
+            refine += RATE * (fine_aim - fine_expected) / (np.maximum(fine_aim, fine_expected) + PULL[1])
+            kept[i] = *state, refine
+        if k < rounds:
+            aim, expected = pair_n[one] - 1, (value * (rates[base] + refined))[one]
+            weight[one] += RATE * (aim - expected) / (np.maximum(aim, expected) + PULL[0])
 
-    others = np.maximum(1 - np.bincount(base[kept], q[kept], len(base_n)), 1e-6)
 
-    def sums() -> tuple[np.ndarray, np.ndarray]:
-        value = q * np.exp(weight)
-        return value, others + np.bincount(base[kept], value[kept], len(base_n))
+def word_log_probabilities(group: np.ndarray, before: np.ndarray, word: np.ndarray, counted: np.ndarray, share: np.ndarray, rounds: int = WORD_ROUNDS) -> np.ndarray:
+    """Log probability of each event's word within its class.
 
-    value, z = sums()
-    refine = begin(n[fine], value[fine_two] / z[base[fine_two]], cell_n, fine_cell, PULL[1])
-    for k in range(rounds + 1):
-        value, z = sums()
-        more = np.expm1(refine)
-        whole = np.maximum(z[cell_base] + np.bincount(fine_cell, value[fine_two] * more, len(cell_n)), 1e-12)
-        if k == rounds:
-            break
-        rate = cell_n / whole
-        expected = value * (np.bincount(cell_base, rate, len(base_n))[base] + np.bincount(fine_two, rate[fine_cell] * more, len(pair)))
-        fine_expected = rate[fine_cell] * value[fine_two] * (more + 1)
-        aim, fine_aim = pair_n[kept] - 1, n[fine] - 1
-        weight[kept] += RATE * (aim - expected[kept]) / (np.maximum(aim, expected[kept]) + PULL[0])
-        refine += RATE * (fine_aim - fine_expected) / (np.maximum(fine_aim, fine_expected) + PULL[1])
-    score = share[word].astype(np.float64) + weight[two] - np.log(whole)[cell]
-    score[fine] += refine
-    out = np.empty(len(of))
-    out[order] = score[of]
-    return out
+    ``group`` numbers the last words; ``counted`` is 1 for the events that
+    features are counted and trained on, 0 for those only to be scored.
+    """
+    if not len(group):
+        return np.zeros(0)
+    *kinds, which = _kinds((group.astype(np.int64) << 24) | before.astype(np.int64), word, counted)
+    kept = {0: kinds}
+    _fit_words(kept, 1, share, rounds)
+    return kept[0][which]
 
 
 _PACKED = "part int, block bigint, blob binary"
 
 
+class _Files:
+    """Values by name, each in a file of its own."""
+
+    def __init__(self, folder: str) -> None:
+        self.folder = folder
+
+    def __setitem__(self, name: int | tuple[int, int], value: object) -> None:
+        with open(f"{self.folder}/{name}", "wb") as f:
+            pickle.dump(value, f, protocol=5)
+
+    def __getitem__(self, name: int | tuple[int, int]):
+        with open(f"{self.folder}/{name}", "rb") as f:
+            return pickle.load(f)
+
+
+class PartEvents:
+    """Events of a part: last word, word before, word, number of the block, document in it.
+
+    Beyond ``limit`` they are in files, sorted by a hash of their context, so
+    that any range of hashes can be read apart from the others.
+    """
+
+    KINDS = ("<u4", "<u4", "<u4", "<u4", "<u2")
+    BINS = 1 << 12
+
+    def __init__(self, limit: int, stack: ExitStack) -> None:
+        self.limit, self.stack, self.folder = limit, stack, None
+        self.held: list[tuple[np.ndarray, ...]] = []
+        self.count = 0
+        #: Where each bin of hashes begins in every file.
+        self.cuts: list[np.ndarray] = []
+
+    def add(self, *columns: np.ndarray) -> None:
+        if self.held and self.count + len(columns[0]) > self.limit:
+            self._write()
+        self.held.append(columns)
+        self.count += len(columns[0])
+
+    def _taken(self) -> tuple[np.ndarray, ...]:
+        columns = tuple(np.concatenate(x) for x in zip(*self.held, strict=True))
+        self.held.clear()
+        self.count = 0
+        return columns
+
+    def _write(self) -> None:
+        if self.folder is None:
+            local = os.environ.get("SPARK_LOCAL_DIRS", "").split(",")[0] or None
+            self.folder = self.stack.enter_context(tempfile.TemporaryDirectory(prefix="lm-", dir=local))
+        columns = self._taken()
+        bins = (bytescan.mix((columns[0].astype(np.uint64) << _U(24)) + columns[1] + _U(1)) >> _U(52)).astype(np.uint16)
+        order = np.argsort(bins, kind="stable")
+        for k, (x, kind) in enumerate(zip(columns, self.KINDS, strict=True)):
+            x[order].astype(kind).tofile(f"{self.folder}/events-{len(self.cuts)}-{k}")
+        self.cuts.append(np.searchsorted(bins[order], np.arange(self.BINS + 1)))
+
+    def slices(self) -> Iterator[Iterator[tuple[np.ndarray, ...]]]:
+        """Slices of whole contexts, each as pieces of columns; of about ``limit`` events, unless a context has more."""
+        if self.folder is None:
+            yield iter([self._taken()] if self.held else [])
+            return
+        if self.held:
+            self._write()
+        ends = np.sum(self.cuts, axis=0)
+        lo = 0
+        while lo < self.BINS:
+            hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + self.limit, side="right")) - 1)
+            if ends[hi] > ends[lo]:
+                yield self._pieces(lo, hi)
+            lo = hi
+
+    def _pieces(self, lo: int, hi: int) -> Iterator[tuple[np.ndarray, ...]]:
+        for j, cut in enumerate(self.cuts):
+            if n := int(cut[hi] - cut[lo]):
+                yield tuple(np.fromfile(f"{self.folder}/events-{j}-{k}", kind, n, offset=int(cut[lo]) * np.dtype(kind).itemsize) for k, kind in enumerate(self.KINDS))
+
+
 def _three(x: np.ndarray) -> bytes:
     return np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3]).tobytes()
 
@@ -416,17 +531,16 @@ def _events(docs: DataFrame, shared, parts: int, kind: int) -> DataFrame:
 
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal number
-            group, before, word, doc = (np.concatenate(x) for x in zip(*held, strict=True))
+            last, before, word, part, doc = (np.concatenate(x) for x in zip(*held, strict=True))
             block = number << 2 | kind
-            part = (((group >> _U(32)) * _U(parts)) >> _U(32)).astype(np.int64)
-            order = np.argsort(group)
+            order = np.argsort((part << 24) | last)
             cut = np.searchsorted(part[order], np.arange(parts + 1))
             rows = []
             for p in np.flatnonzero(np.diff(cut)):
                 at = order[cut[p] : cut[p + 1]]
-                own = group[at]
+                own = last[at]
                 first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
-                blob = [np.array([len(first), len(at)], "<i8"), own[first].astype("<u8"), np.diff(np.append(first, len(at))).astype("<u4")]
+                blob = [np.array([len(first), len(at)], "<i8"), own[first].astype("<u4"), np.diff(np.append(first, len(at))).astype("<u4")]
                 rows.append((int(p), block, b"".join(x.tobytes() for x in blob) + _three(before[at]) + _three(word[at]) + doc[at].astype("<u2").tobytes()))
             if kind & 2:
                 ids, real, count, total = (np.concatenate(x) for x in zip(*known, strict=True))
@@ -450,15 +564,12 @@ def _events(docs: DataFrame, shared, parts: int, kind: int) -> DataFrame:
                         words = n_docs = 0
                     events = Events(bytescan.Words(own_raw, own_at))
                     row = np.repeat(np.arange(hi - lo), np.diff(events.offset))
-                    body = bytescan.span_hash(bytescan.prefix_hash(own_raw), own_at[:-1], own_at[1:])
-                    last, before = (Events.words(h, model.bits) for h in (events.last, events.before))
-                    often, rarer = model.often(last), model.often(before)
-                    rarer = np.minimum(often, rarer)
+                    last, before, word = (Events.words(h, model.bits) for h in (events.last, events.before, events.hash))
                     group = bytescan.mix(last.astype(np.uint64) + _U(1 << 40))
-                    for times, key in ((-(-often // model.split), events.before), (-(-rarer // (8 * model.split)), body[row])):
-                        some = np.flatnonzero(times > 1)
-                        group[some] = bytescan.mix(group[some] + bytescan.mix(key[some]) % times[some].astype(np.uint64) + _U(1))
-                    held.append((group, before, Events.words(events.hash, model.bits), row + n_docs))
+                    some = np.flatnonzero(model.often(last))
+                    group[some] = bytescan.mix(group[some] + events.cls[some].astype(np.uint64) + _U(1))
+                    part = (((group >> _U(32)) * _U(parts)) >> _U(32)).astype(np.int64)
+                    held.append((last, before, word, part, row + n_docs))
                     total = bytescan.row_sums(class_log_probabilities(events, model.weights), events.offset) if kind & 2 else np.zeros(hi - lo)
                     known.append((ids[lo:hi], real[lo:hi], np.diff(events.offset), total))
                     words += len(events.hash)
@@ -469,34 +580,70 @@ def _events(docs: DataFrame, shared, parts: int, kind: int) -> DataFrame:
     return docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"]).mapInArrow(run, _PACKED)
 
 
-def _score_part(group: pa.Table, shared) -> pa.Table:
+def _unpacked(blob: memoryview) -> tuple[np.ndarray, ...]:
+    """Last word, word before, word and document of a block's events."""
+    m, n = map(int, np.frombuffer(blob, "<i8", 2))
+    last = np.repeat(np.frombuffer(blob, "<u4", m, 16), np.frombuffer(blob, "<u4", m, 16 + 4 * m))
+    at = 16 + 8 * m
+    return last, _numbers(blob, n, at), _numbers(blob, n, at + 3 * n), np.frombuffer(blob, "<u2", n, at + 6 * n).copy()
+
+
+def _score_part(batches: Iterator[pa.RecordBatch], share: np.ndarray, limit: int) -> Iterator[pa.RecordBatch]:
     """Train on a part's counted events, score the others, and sum the scores by document of each block."""
-    blocks, blobs = np.asarray(group["block"]), [memoryview(x.as_buffer()) for chunk in group["blob"].chunks for x in chunk]
-    if group["part"][0].as_py() < 0:
-        return _rows([(1, int(b), bytes(x)) for b, x in zip(blocks, blobs, strict=True)])
-    names, before, word, doc, size = [], [], [], [], []
-    for blob in blobs:
-        m, n = map(int, np.frombuffer(blob, "<i8", 2))
-        times = np.frombuffer(blob, "<u4", m, 16 + 8 * m)
-        names.append(np.repeat(np.frombuffer(blob, "<u8", m, 16), times))
-        at = 16 + 12 * m
-        before.append(_numbers(blob, n, at))
-        word.append(_numbers(blob, n, at + 3 * n))
-        doc.append(np.frombuffer(blob, "<u2", n, at + 6 * n))
-        size.append(n)
-    number = np.unique(np.concatenate(names), return_inverse=True)[1].astype(np.int32)
-    before, word = np.concatenate(before), np.concatenate(word)
-    names.clear()
-    counted = np.repeat((blocks & 1) == 0, size).astype(np.int8)
-    score = word_log_probabilities(number, before, word, counted, shared.value.share)
-    rows, at = [], 0
-    for block, n, own in zip(blocks, size, doc, strict=True):
-        if block & 2:
-            total = np.bincount(own, score[at : at + n])
-            there = np.unique(own)
-            rows.append((0, int(block), there.astype("<u2").tobytes() + total[there].astype("<f4").tobytes()))
-        at += n
-    return _rows(rows)
+    blocks: list[int] = []
+    with ExitStack() as stack:
+        events = PartEvents(limit, stack)
+        for batch in batches:
+            parts, numbers = np.asarray(batch.column("part")), np.asarray(batch.column("block"))
+            for part, block, blob in zip(parts, numbers, batch.column("blob"), strict=True):
+                if part < 0:
+                    yield from _rows([(1, int(block), blob.as_py())]).to_batches()
+                    continue
+                last, before, word, doc = _unpacked(memoryview(blob.as_buffer()))
+                events.add(last, before, word, np.full(len(last), len(blocks), np.uint32), doc)
+                blocks.append(int(block))
+        if not blocks:
+            return
+        counted = (np.array(blocks) & 1) == 0
+        pieces: list[int] = []
+        kept: dict | _Files | None = None
+        for i, own in enumerate(events.slices()):
+            if kept is None:
+                kept = {} if events.folder is None else _Files(events.folder)
+            found = []
+            for j, (last, before, word, block, doc) in enumerate(own):
+                *kinds, which = _kinds((last.astype(np.int64) << 24) | before, word, counted[block])
+                kept[i, j] = which, block, doc
+                found.append(kinds)
+            del last, before, word, block, doc, which
+            pieces.append(len(found))
+            if len(found) > 1:
+                size = [len(x[0]) for x in found]
+                *kinds, which = _kinds(*(np.concatenate(x) for x in zip(*found, strict=True)))
+                for j, own_which in enumerate(np.split(which, np.cumsum(size)[:-1])):
+                    of, block, doc = kept[i, j]
+                    kept[i, j] = own_which[of], block, doc
+            kept[i] = kinds
+            del found, kinds
+        _fit_words(kept, len(pieces), share, WORD_ROUNDS)
+        for i, n in enumerate(pieces):
+            score = kept[i]
+            for j in range(n):
+                yield from _rows(_by_document(blocks, *kept[i, j], score)).to_batches()
+
+
+def _by_document(blocks: list[int], which: np.ndarray, block: np.ndarray, doc: np.ndarray, score: np.ndarray) -> list[tuple[int, int, bytes]]:
+    """Sums of scores by document, a row for each block that is scored."""
+    order = np.argsort(block, kind="stable")
+    first, _ = _runs(block[order])
+    rows = []
+    for at in np.split(order, first[1:]):
+        name = blocks[block[at[0]]]
+        if name & 2:
+            own = doc[at]
+            total, there = np.bincount(own, score[which[at]]), np.unique(own)
+            rows.append((0, name, there.astype("<u2").tobytes() + total[there].astype("<f8").tobytes()))
+    return rows
 
 
 def _sum_block(group: pa.Table) -> pa.Table:
@@ -507,8 +654,8 @@ def _sum_block(group: pa.Table) -> pa.Table:
     ids, count, total = np.frombuffer(head, "<i8", n), np.frombuffer(head, "<i8", n, 8 * n), np.frombuffer(head, "<f8", n, 16 * n).copy()
     real = np.frombuffer(head, "u1", n, 24 * n) == 1
     for k in np.flatnonzero(kinds == 0):
-        m = len(blobs[k]) // 6
-        total[np.frombuffer(blobs[k], "<u2", m)] += np.frombuffer(blobs[k], "<f4", m, 2 * m)
+        m = len(blobs[k]) // 10
+        total[np.frombuffer(blobs[k], "<u2", m)] += np.frombuffer(blobs[k], "<f8", m, 2 * m)
     mean = pa.array(np.round(total / np.maximum(count, 1), 6), mask=count == 0)
     return pa.table([pa.array(ids, mask=~real), pa.array(count), pa.array(np.round(total, 4)), mean], ["doc_id", "n_words", "log_prob", "mean_log_prob"])
 
@@ -525,5 +672,10 @@ def score_lm(docs: DataFrame, model: Model, corpus: DataFrame | None = None) ->
     events = _events(docs, shared, parts, 2 if corpus is None else 3)
     if corpus is not None:
         events = events.unionByName(_events(corpus, shared, parts, 0))
-    sums = events.groupBy("part").applyInArrow(lambda group: _score_part(group, shared), _PACKED)
+    limit = PART_EVENTS
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _score_part(batches, shared.value.share, limit)
+
+    sums = events.groupBy("part").applyInArrow(score, _PACKED)
     return sums.groupBy("block").applyInArrow(_sum_block, "doc_id bigint, n_words bigint, log_prob double, mean_log_prob double")

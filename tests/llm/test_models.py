@@ -317,6 +317,48 @@ def test_language_model_learns(spark):
     assert empty.total == 0 and len(lm_scoring.score_lm(frame(spark, awkward()), empty).collect()) == len(awkward())
 
 
+def test_scores_do_not_depend_on_how_events_are_shared_out(spark, monkeypatch):
+    """The same scores whether last words are hot, parts are many, or events don't fit a task."""
+    docs = frame(spark, chains(60)[0] + [(100, "a " * 700), (101, "b a " * 300), (102, "a"), (103, None), (None, "a b c")])
+    found = []
+    for split, words_, events in ((lm_scoring.SPLIT, 10**6, 10**6), (40, 10**6, 10**6), (40, 500, 10**6), (lm_scoring.SPLIT, 10**6, 300), (40, 500, 100)):
+        monkeypatch.setattr(lm_scoring, "PART_WORDS", words_)
+        monkeypatch.setattr(lm_scoring, "PART_EVENTS", events, raising=False)
+        for corpus in (None, docs):
+            rows = lm_scoring.score_lm(docs, lm_scoring.fit_lm(docs, split=split), corpus).collect()
+            found.append((corpus is None, sorted((-1 if r["doc_id"] is None else r["doc_id"], r["n_words"], r["log_prob"]) for r in rows)))
+    for alone, rows in found[2:]:
+        want = next(x for same, x in found if same == alone)
+        assert [r[:2] for r in rows] == [r[:2] for r in want]
+        assert [r[2] for r in rows] == pytest.approx([r[2] for r in want], abs=2e-4)
+
+
+@pytest.mark.parametrize("limit", [50, 70])
+def test_slices_of_contexts_against_a_slow_version(limit):
+    rng = np.random.default_rng(limit)
+    n = 300
+    share = lm_scoring.word_shares(rng.poisson(2, 512))
+    last, before, word = rng.integers(0, 5, n), rng.integers(0, 3, n), np.minimum(rng.geometric(0.05, n), 60)
+    blocks, doc = rng.integers(0, 4, n), np.arange(n)  # events of block 1 are only scored
+    blobs = []
+    for b in range(4):
+        at = np.flatnonzero(blocks == b)
+        at = at[np.argsort(last[at], kind="stable")]
+        own, size = np.unique(last[at], return_counts=True)
+        head = [np.array([len(own), len(at)], "<i8"), own.astype("<u4"), size.astype("<u4")]
+        blobs.append(b"".join(x.tobytes() for x in head) + lm_scoring._three(before[at]) + lm_scoring._three(word[at]) + doc[at].astype("<u2").tobytes())
+    names = [2, 3, 6, 10]
+    batch = pa.RecordBatch.from_arrays([pa.array([0] * 4, pa.int32()), pa.array(names, pa.int64()), pa.array(blobs, pa.binary())], ["part", "block", "blob"])
+    got = np.zeros(n)
+    for rows in lm_scoring._score_part(iter([batch]), share, limit):
+        for name, blob in zip(rows["block"].to_pylist(), rows["blob"].to_pylist(), strict=True):
+            there, score = np.frombuffer(blob, "<u2", len(blob) // 10), np.frombuffer(blob, "<f8", len(blob) // 10, len(blob) // 5)
+            assert all(names[blocks[k]] == name for k in there)
+            got[there] += score
+    want = slow_words(last.tolist(), before.tolist(), word.tolist(), (blocks != 1).astype(int).tolist(), share, lm_scoring.WORD_ROUNDS)
+    assert got == pytest.approx(want, abs=1e-5)
+
+
 def test_sample_does_not_depend_on_partitions(spark):
     rows, labels = labelled(1, 80)
     a, b = (common.labelled_sample(frame(spark, rows).repartition(n), label_frame(spark, labels), "quality", 30) for n in (1, 7))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import lang as L
 from ..functions import text as T
 from ..plans.policies import ExportPolicy, NgramPolicy
+from . import packed
 
 KEY = ["lang", "corpus", "text", "n", "norm_key"]
 
@@ -44,7 +47,12 @@ def ngram_valid(words: Column, lang: Column, policy: NgramPolicy = NgramPolicy()
 
 def chunk_rows(docs: DataFrame) -> DataFrame:
     """lang, corpus, chunk: the pieces of every text between strong punctuation."""
-    cleaned = docs.where("text is not null").select("lang", "corpus", T.once(T.clean(F.col("text"))).alias("cleaned"))
+    rows = docs.where("text is not null").select("lang", "corpus", "text")
+    text = F.col("text")
+    for step, marks in ((T.remove_urls, ("http", "www")), (T.remove_markers, ("[", "{{"))):  # most texts have nothing to remove
+        some = reduce(lambda a, b: a | b, (text.contains(m) for m in marks))
+        rows = rows.select("lang", "corpus", T.once(F.when(some, step(text)).otherwise(text)).alias("text"))
+    cleaned = rows.select("lang", "corpus", T.once(T.normalize_spacing(text)).alias("cleaned"))
     return cleaned.select("lang", "corpus", F.explode(T.chunks(F.col("cleaned"))).alias("chunk"))
 
 
@@ -53,40 +61,38 @@ def token_rows(docs: DataFrame) -> DataFrame:
     return chunk_rows(docs).select("lang", "corpus", T.once(T.tokens(F.col("chunk"))).alias("tokens")).where(F.size("tokens") > 0)
 
 
-def ngram_rows(docs: DataFrame, policy: NgramPolicy = NgramPolicy()) -> DataFrame:
-    """lang, corpus, text: every valid n-gram as often as it occurs.
-
-    A chunk's tokens become one letter each (invalid, stopword, other), so a
-    window's validity is a look at a short string; the key keeps the length of
-    the words, so only the text travels.
-    """
-    lang = F.col("lang")
-    kind = F.transform("tokens", lambda t: F.when(~token_valid(t, lang, policy), "x").when(is_stopword(t, lang), "s").otherwise("w"))
-    rows = token_rows(docs).select("lang", "corpus", "tokens", T.once(F.array_join(kind, "")).alias("kinds"))
-    at = F.sequence(F.lit(1), F.size("tokens"))
-
-    def window(n: int):
-        def one(i: Column) -> Column:
-            kinds = F.substring(F.col("kinds"), i, F.lit(n))
-            ok = (F.length(kinds) == n) & ~kinds.contains("x")
-            if not policy.include_all_stopword_ngrams:
-                ok &= kinds.contains("w")
-            return F.when(ok, F.array_join(F.slice("tokens", i, n), " "))
-
-        return F.transform(at, one)
-
-    found = rows.select("lang", "corpus", F.explode(F.flatten(F.array(*(window(n) for n in range(1, policy.max_n + 1))))).alias("text"))
-    return found.where(F.col("text").isNotNull() & (F.length(F.replace("text", F.lit(" "))) >= policy.min_norm_len))
-
-
 def count_ngrams(docs: DataFrame, policy: NgramPolicy = NgramPolicy()) -> DataFrame:
     """lang, corpus, text, n, count, norm_key of documents (lang, corpus, text).
 
     Size and key follow from the text, so they are worked out after the one
     shuffle, once for each n-gram.
     """
-    counted = ngram_rows(docs, policy).groupBy("lang", "corpus", "text").agg(F.count("*").alias("count"))
-    return counted.select("lang", "corpus", "text", size_of("text").alias("n"), "count", F.replace(F.translate("text", T.ACCENTED + "ç", T.PLAIN + "c"), F.lit(" "), F.lit("")).alias("norm_key"))
+    return keyed(packed.count(token_rows(docs), policy, packed.bucket_count(docs)))
+
+
+def count_pairable(docs: DataFrame, source: str, target: str, policy: NgramPolicy = NgramPolicy()) -> DataFrame:
+    """Counts of two languages without n-grams that can't have a partner in the other one.
+
+    A first pass over the documents finds which stretches of letters each
+    language has, a second one counts only n-grams whose key, backwards, is
+    made of the other language's.  So what is summed, shuffled and joined
+    follows the pairs there can be and not the n-grams there are.
+    """
+    spark = docs.sparkSession
+    tokens = token_rows(docs.where(F.col("lang").isin(source, target)))
+    seen = packed.stretches(tokens)
+    others = {lang: seen[other] for lang, other in ((source, target), (target, source)) if other in seen}
+    if source not in seen or target not in seen:
+        tokens = tokens.where(F.lit(False))
+    return keyed(packed.count(tokens, policy, packed.bucket_count(docs), packed.pairable(spark.sparkContext.broadcast(others))))
+
+
+def keyed(counted: DataFrame) -> DataFrame:
+    """Counts (lang, corpus, text, count) of lower-case words one blank apart with their sizes and keys."""
+    together = F.replace("text", F.lit(" "), F.lit(""))
+    folded = F.translate(together, T.ACCENTED + "ç", T.PLAIN + "c")
+    key = F.when(F.octet_length("text") == F.length("text"), together).otherwise(folded)  # ASCII needs no folding
+    return counted.select("lang", "corpus", "text", size_of("text").alias("n"), "count", key.alias("norm_key"))
 
 
 def size_of(text: str) -> Column:

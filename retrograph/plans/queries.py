@@ -63,6 +63,11 @@ def counts(spark: SparkSession, sf: str, corpus: str | None = "docs", policy: Ng
     return ngrams.count_ngrams(docs.where(F.col("lang").isin(*langs)) if langs else docs, policy)
 
 
+def sides(spark: SparkSession, sf: str, source: str, target: str) -> DataFrame:
+    """Counts of two languages, as far as they can be in pairs."""
+    return ngrams.count_pairable(documents(spark, sf, "docs"), source, target)
+
+
 # Text
 
 
@@ -189,9 +194,9 @@ def _pair_query(name: str, source: str, target: str, limit: int = 0, least: tupl
         sql += f" ORDER BY {O.PAIR_ORDER} LIMIT {limit}"
 
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        own = counts(spark, sf, langs=tuple({source, target}))
-        sides = [ngrams.select_counts(own, lang=lang, n=k, min_norm_len=lengths[0], max_norm_len=lengths[1], min_count=c, compacted=True) for lang, k, c in zip((source, target), n, least, strict=True)]
-        return pairs.ordered_pairs(pairs.reverse_pairs(*sides, palindromes=palindromes, identical=identical), limit)
+        own = sides(spark, sf, source, target)
+        both = [ngrams.select_counts(own, lang=lang, n=k, min_norm_len=lengths[0], max_norm_len=lengths[1], min_count=c, compacted=True) for lang, k, c in zip((source, target), n, least, strict=True)]
+        return pairs.ordered_pairs(pairs.reverse_pairs(*both, palindromes=palindromes, identical=identical), limit)
 
     query(sql, name)(run)
 
@@ -242,7 +247,7 @@ _LOW = dict(min_source_count=1, min_target_count=1)
 
 def _all_pairs(spark: SparkSession, sf: str) -> DataFrame:
     """All pairs, numbered from 0 in their order; the order's ranges are numbered apart and then put end to end."""
-    own = counts(spark, sf, langs=("es", "en"))
+    own = sides(spark, sf, "es", "en")
     found = pairs.reverse_pairs(*(ngrams.select_counts(own, lang=x, compacted=True) for x in ("es", "en")))
     rows = scratch.cut(pairs.ordered_pairs(found).withColumn("at", F.monotonically_increasing_id()))
     rows = rows.withColumn("range", F.shiftright("at", 33)).withColumn("at", F.col("at").bitwiseAND(F.lit((1 << 33) - 1)))
@@ -561,7 +566,7 @@ def ngram_file(spark: SparkSession, sf: str) -> DataFrame:
 def pair_file(spark: SparkSession, sf: str) -> DataFrame:
     """Pairs through a pair file."""
     path = _folder(spark, "pairs")
-    own = counts(spark, sf, langs=("en", "fr"))
+    own = sides(spark, sf, "en", "fr")
     writers.write_tsv(pairs.reverse_pairs(*(ngrams.select_counts(own, lang=x, compacted=True) for x in ("en", "fr"))), path)
     return readers.read_pairs(spark, path).drop("id")
 

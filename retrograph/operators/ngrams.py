@@ -61,13 +61,16 @@ def token_rows(docs: DataFrame) -> DataFrame:
     return chunk_rows(docs).select("lang", "corpus", T.once(T.tokens(F.col("chunk"))).alias("tokens")).where(F.size("tokens") > 0)
 
 
-def count_ngrams(docs: DataFrame, policy: NgramPolicy = NgramPolicy()) -> DataFrame:
+def count_ngrams(docs: DataFrame, policy: NgramPolicy = NgramPolicy(), weights: dict[tuple[str | None, str | None], int] | None = None) -> DataFrame:
     """lang, corpus, text, n, count, norm_key of documents (lang, corpus, text).
 
     Size and key follow from the text, so they are worked out after the one
-    shuffle, once for each n-gram.
+    shuffle, once for each n-gram.  With ``weights``, the amount of text of each
+    language and corpus, a task's result has few of them.
     """
-    return keyed(packed.count(token_rows(docs), policy, packed.bucket_count(docs)))
+    buckets = packed.bucket_count(docs)
+    shares, buckets = packed.shared_out(weights, buckets) if weights else (None, buckets)
+    return keyed(packed.count(token_rows(docs), policy, buckets, shares=shares))
 
 
 def count_pairable(docs: DataFrame, source: str, target: str, policy: NgramPolicy = NgramPolicy()) -> DataFrame:
@@ -87,12 +90,15 @@ def count_pairable(docs: DataFrame, source: str, target: str, policy: NgramPolic
     return keyed(packed.count(tokens, policy, packed.bucket_count(docs), packed.pairable(spark.sparkContext.broadcast(others))))
 
 
+def key_of(text: str) -> Column:
+    """The key of a text of lower-case words one blank apart."""
+    together = F.replace(F.col(text), F.lit(" "), F.lit(""))
+    return F.when(F.octet_length(text) == F.length(text), together).otherwise(F.translate(together, T.ACCENTED + "ç", T.PLAIN + "c"))  # ASCII needs no folding
+
+
 def keyed(counted: DataFrame) -> DataFrame:
-    """Counts (lang, corpus, text, count) of lower-case words one blank apart with their sizes and keys."""
-    together = F.replace("text", F.lit(" "), F.lit(""))
-    folded = F.translate(together, T.ACCENTED + "ç", T.PLAIN + "c")
-    key = F.when(F.octet_length("text") == F.length("text"), together).otherwise(folded)  # ASCII needs no folding
-    return counted.select("lang", "corpus", "text", size_of("text").alias("n"), "count", key.alias("norm_key"))
+    """Counts (lang, corpus, text, count) with their sizes and keys."""
+    return counted.select("lang", "corpus", "text", size_of("text").alias("n"), "count", key_of("text").alias("norm_key"))
 
 
 def size_of(text: str) -> Column:
@@ -105,6 +111,11 @@ def totals(counts: DataFrame) -> DataFrame:
     return counts.groupBy(*KEY).agg(F.sum("count").alias("count")).select("lang", "corpus", "text", "n", "count", "norm_key")
 
 
+def totals_by_text(counts: DataFrame) -> DataFrame:
+    """``totals`` of counts whose sizes and keys follow from their texts: only texts travel."""
+    return keyed(packed.total(counts, packed.bucket_count(counts)))
+
+
 def ngram_score(words: Column, count: Column, lang: Column) -> Column:
     """Log count, less for one-letter words, trigrams and stopwords, more for handy key lengths."""
     single = F.size(F.filter(words, lambda w: F.length(w) == 1))

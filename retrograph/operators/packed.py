@@ -10,6 +10,7 @@ several passes, so memory follows neither the input nor its splits.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -27,6 +28,7 @@ from ..sources import scratch
 FLUSH, HELD = 1_500_000, 3_000_000
 #: Bytes of input for a bucket.
 BUCKET_BYTES = 4 << 20
+COUNTED = "lang string, corpus string, text string, count bigint"
 BLOCK = "bucket int, rows int, size bigint, langs array<string>, corpora array<string>, data binary"
 
 _PLAIN = str.maketrans(T.ACCENTED + T.ACCENTED.upper(), T.PLAIN + T.PLAIN.upper())
@@ -34,6 +36,8 @@ _PLAIN = str.maketrans(T.ACCENTED + T.ACCENTED.upper(), T.PLAIN + T.PLAIN.upper(
 FOLD = np.arange(0x180, dtype=np.uint64)
 FOLD[[ord(c) for c in T.ACCENTED + "ç"]] = [ord(c) for c in T.PLAIN + "c"]
 
+#: (language, corpus) to the first of its buckets and how many it has.
+Shares = dict[tuple[str | None, str | None], tuple[int, int]]
 Mapper = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
@@ -150,12 +154,13 @@ def windows(held: Words, policy: NgramPolicy, keep: Callable[[int], np.ndarray]
         yield key, words[::-1], counts
 
 
-def blocks(policy: NgramPolicy, buckets: int, keep: Callable[[Words], Callable[[int], np.ndarray]] | None = None) -> Mapper:
+def blocks(policy: NgramPolicy, buckets: int, keep: Callable[[Words], Callable[[int], np.ndarray]] | None = None, shares: Shares | None = None) -> Mapper:
     """Sums of a mapper's n-grams by bucket: lengths, groups, counts and texts of each, compressed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in gathered(batches, FLUSH):
             held = Words(table)
+            first, own = (np.array(x, np.uint64) for x in zip(*((shares or {}).get(g, (0, buckets)) for g in held.groups), strict=True))
             hashed = pd.util.hash_array(held.words.to_numpy(zero_copy_only=False))
             texts, group, counts, bucket = [], [], [], []
             for g, words, c in windows(held, policy, keep and keep(held)):
@@ -166,7 +171,7 @@ def blocks(policy: NgramPolicy, buckets: int, keep: Callable[[Words], Callable[[
                     h = (h ^ (h >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + hashed[w]
                 group.append(g)
                 counts.append(c)
-                bucket.append((h >> np.uint64(33)) % np.uint64(buckets))
+                bucket.append(first[g] + (h >> np.uint64(33)) % own[g])
             if texts:
                 yield from packed(held.groups, pa.concat_arrays(texts), *map(np.concatenate, (group, counts, bucket)), buckets)
 
@@ -233,11 +238,49 @@ def bucket_count(df: DataFrame) -> int:
     return max(least, size // BUCKET_BYTES) if size < 1 << 50 else least
 
 
-def count(tokens: DataFrame, policy: NgramPolicy, buckets: int, keep: Callable[[Words], Callable[[int], np.ndarray]] | None = None) -> DataFrame:
+def shared_out(weights: dict[tuple[str | None, str | None], int], buckets: int) -> tuple[Shares, int]:
+    """Buckets of its own for each language and corpus, in proportion to its weight; also how many there are.
+
+    So a task that writes partitions has few of them, and the number of files
+    follows the input and not partitions times tasks.
+    """
+    total, at, shares = max(1, sum(weights.values())), 0, {}
+    for group, weight in weights.items():
+        shares[group] = (at, max(1, round(buckets * weight / total)))
+        at += shares[group][1]
+    return shares, max(1, at)
+
+
+def count(tokens: DataFrame, policy: NgramPolicy, buckets: int, keep: Callable[[Words], Callable[[int], np.ndarray]] | None = None, shares: Shares | None = None) -> DataFrame:
     """lang, corpus, text, count of the n-grams of token rows (lang, corpus, tokens)."""
     scratch.importable(tokens.sparkSession)
-    found = tokens.mapInArrow(blocks(policy, buckets, keep), BLOCK)
-    return found.groupBy("bucket").applyInArrow(unite, "lang string, corpus string, text string, count bigint")
+    found = tokens.mapInArrow(blocks(policy, buckets, keep, shares), BLOCK)
+    return found.groupBy("bucket").applyInArrow(unite, COUNTED)
+
+
+def counted_blocks(buckets: int) -> Mapper:
+    """Blocks of rows (lang, corpus, text, count, bucket)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in chain(batches, [None]):
+            if batch is not None:
+                held.append(batch)
+            if held and (batch is None or sum(b.num_rows for b in held) >= FLUSH):
+                table, held = pa.Table.from_batches(held), []
+                (lang, langs), (corpus, corpora) = coded(table.column("lang")), coded(table.column("corpus"))
+                groups, group = np.unique(lang * len(corpora) + corpus, return_inverse=True)
+                names = [(langs[x // len(corpora)], corpora[x % len(corpora)]) for x in groups.tolist()]
+                yield from packed(names, one_array(table.column("text")), group, table.column("count").to_numpy(), table.column("bucket").to_numpy(), buckets)
+
+    return run
+
+
+def total(counts: DataFrame, buckets: int) -> DataFrame:
+    """lang, corpus, text, count of partial counts with these columns, summed by text."""
+    scratch.importable(counts.sparkSession)
+    rows = counts.select("lang", "corpus", "text", "count", F.pmod(F.xxhash64("text"), F.lit(buckets)).cast("int").alias("bucket"))
+    return rows.mapInArrow(counted_blocks(buckets), BLOCK).groupBy("bucket").applyInArrow(unite, COUNTED)
 
 
 # N-grams that can be half of a pair: every stretch of STRETCH letters of a key must occur, backwards, on the other side.

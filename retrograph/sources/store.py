@@ -6,7 +6,7 @@ import uuid
 from datetime import datetime, timezone
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import ngrams, pairs, stats
@@ -19,6 +19,11 @@ MARKS_SCHEMA = "compacted_at timestamp, lang string, corpus string, n int"
 PARTITION = ["lang", "corpus", "n"]
 
 
+def _follows() -> Column:
+    """Whether a count's key and size follow from its text, as they do for all that ``count_ngrams`` makes."""
+    return (F.col("norm_key").eqNullSafe(ngrams.key_of("text"))) & F.col("n").eqNullSafe(ngrams.size_of("text"))
+
+
 class NgramStore:
     """Tables under ``root``, partitioned by language, corpus and size, so filters on these never open other files.
 
@@ -36,13 +41,18 @@ class NgramStore:
         self._path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _table(self, name: str) -> DataFrame:
+    def _files(self, name: str) -> DataFrame:
+        """A table as it is written; the key of a count is null where it follows from the text."""
         schema = MARKS_SCHEMA if name == MARKS else COUNTS_SCHEMA
         path = f"{self.root}/{name}"
         if not self.partitions(name):
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(path)
 
+    def _table(self, name: str) -> DataFrame:
+        rows = self._files(name)
+        return rows if name == MARKS else rows.withColumn("norm_key", F.coalesce("norm_key", ngrams.key_of("text")))
+
     def raw(self) -> DataFrame:
         return self._table(RAW).select("lang", "corpus", "text", "n", "count", "norm_key")
 
@@ -72,7 +82,8 @@ class NgramStore:
         """Write rows, partitioned, to a staging folder; one that is complete is kept as it is."""
         stage = f"{STAGING}/{name}"
         if not self._fs.exists(self._path(f"{self.root}/{stage}/_SUCCESS")):
-            rows.select("text", "count", "norm_key", *PARTITION).write.mode("overwrite").partitionBy(*PARTITION).parquet(f"{self.root}/{stage}")
+            key = F.when(~_follows(), F.col("norm_key")).alias("norm_key")
+            rows.select("text", "count", key, *PARTITION).write.mode("overwrite").option("compression", "zstd").partitionBy(*PARTITION).parquet(f"{self.root}/{stage}")
         return stage
 
     def _move(self, stage: str, table: str) -> None:
@@ -117,10 +128,11 @@ class NgramStore:
 
     def add_documents(self, docs: DataFrame, policy: NgramPolicy = NgramPolicy(), *, reset: bool = False, batch: str | None = None) -> int:
         """Count documents (lang, corpus, text) and add the counts; ``reset`` first deletes what their corpora had."""
+        found = docs.groupBy("lang", "corpus").agg(F.coalesce(F.sum(F.octet_length("text").cast("bigint")), F.lit(0))).collect()
         if reset:
-            for lang, corpus in docs.select("lang", "corpus").distinct().collect():
+            for lang, corpus, _ in found:
                 self.delete(lang, corpus)
-        return self.append(ngrams.count_ngrams(docs, policy), batch)
+        return self.append(ngrams.count_ngrams(docs, policy, {(r[0], r[1]): r[2] for r in found}), batch)
 
     def compact(self, lang: str, corpus: str, n: int = 0) -> int:
         """Sum up one size, or all sizes in one job; the number of rows made."""
@@ -129,7 +141,7 @@ class NgramStore:
         if not keys:
             self.invalidate(old)
             return 0
-        stage = self._stage(ngrams.select_counts(self.raw(), lang=lang, corpus=corpus, n=n), f"totals-{uuid.uuid4().hex}")
+        stage = self._stage(self._summed(lang, corpus, n), f"totals-{uuid.uuid4().hex}")
         made = sum(self._rows(stage).values())
         self.invalidate(old)
         self._move(stage, TOTALS)
@@ -137,6 +149,14 @@ class NgramStore:
         self.spark.createDataFrame([(now, *k) for k in sorted(keys)], MARKS_SCHEMA).write.mode("append").partitionBy(*PARTITION).parquet(f"{self.root}/{MARKS}")
         return made
 
+    def _summed(self, lang: str, corpus: str, n: int) -> DataFrame:
+        """Sums of raw counts; keys and sizes travel only where they don't follow from the text."""
+        rows = self._files(RAW).where((F.col("lang") == lang) & (F.col("corpus") == corpus))
+        if n:
+            rows = rows.where(F.col("n") == n)
+        plain = F.col("norm_key").isNull() | _follows()
+        return ngrams.totals_by_text(rows.where(plain)).unionByName(ngrams.totals(rows.where(~plain)))
+
     def delete(self, lang: str, corpus: str | None = None) -> dict[str, int]:
         """Delete a language or one of its corpora; rows deleted of each table."""
         out = {}

@@ -6,19 +6,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _stats(counts: DataFrame, keys: list[str], exact: bool) -> DataFrame:
-    distinct = F.count_distinct("text") if exact else F.approx_count_distinct("text")
+def _stats(counts: DataFrame, keys: list[str], exact: bool, summed: bool) -> DataFrame:
+    distinct = F.count("*") if summed else F.count_distinct("text") if exact else F.approx_count_distinct("text")
     return counts.groupBy(*keys).agg(F.count("*").alias("row_count"), F.sum("count").alias("occurrences"), distinct.alias("distinct_texts"))
 
 
-def stats_by_corpus(counts: DataFrame, exact: bool = False) -> DataFrame:
-    """Rows, occurrences and distinct texts of each language and corpus."""
-    return _stats(counts, ["lang", "corpus"], exact)
+def stats_by_corpus(counts: DataFrame, exact: bool = False, summed: bool = False) -> DataFrame:
+    """Rows, occurrences and distinct texts of each language and corpus.
 
+    ``summed`` says that a text has one row in its language and corpus, as after
+    counting or summing up, so its rows are its distinct texts.
+    """
+    return _stats(counts, ["lang", "corpus"], exact, summed)
 
-def stats_by_size(counts: DataFrame, exact: bool = False) -> DataFrame:
+
+def stats_by_size(counts: DataFrame, exact: bool = False, summed: bool = False) -> DataFrame:
     """The same for each n-gram size."""
-    return _stats(counts, ["lang", "corpus", "n"], exact)
+    return _stats(counts, ["lang", "corpus", "n"], exact, summed)
 
 
 def top_rows(counts: DataFrame, k: int = 20) -> DataFrame:

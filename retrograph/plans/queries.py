@@ -137,7 +137,7 @@ _PARTIAL = O.counts(_BY_SOURCE)
 @query(f"WITH {_PARTIAL} SELECT lang, 'docs' AS corpus, text, n, CAST(sum(count) AS BIGINT) AS count, norm_key FROM counts GROUP BY ALL")
 def ngram_partial_compaction(spark: SparkSession, sf: str) -> DataFrame:
     """Partial counts of each source, summed up as one corpus."""
-    return ngrams.totals(counts(spark, sf, None).withColumn("corpus", F.lit("docs")))
+    return ngrams.totals_by_text(counts(spark, sf, None).withColumn("corpus", F.lit("docs")))
 
 
 @query(f"WITH {O.counts(_DOCS)} SELECT lang, corpus, text, n, count, {O.score('string_split(text, chr(32))', 'count', 'lang')} AS score, norm_key FROM counts WHERE lang = 'es' AND count >= 2")
@@ -156,17 +156,17 @@ def _stats_sql(keys: str) -> str:
 
 @query(_stats_sql("lang, corpus"))
 def stats_by_corpus(spark: SparkSession, sf: str) -> DataFrame:
-    return stats.stats_by_corpus(counts(spark, sf, None), exact=True)
+    return stats.stats_by_corpus(counts(spark, sf, None), exact=True, summed=True)
 
 
 @query(_stats_sql("lang, corpus, n"))
 def stats_by_size(spark: SparkSession, sf: str) -> DataFrame:
-    return stats.stats_by_size(counts(spark, sf, None), exact=True)
+    return stats.stats_by_size(counts(spark, sf, None), exact=True, summed=True)
 
 
 @query(f"WITH {_PARTIAL}, t AS (SELECT lang, 'docs' AS corpus, text, n, sum(count) AS count FROM counts GROUP BY ALL) SELECT lang, corpus, n, count(*) AS row_count, CAST(sum(count) AS BIGINT) AS occurrences, count(DISTINCT text) AS distinct_texts FROM t GROUP BY ALL")
 def totals_stats_by_size(spark: SparkSession, sf: str) -> DataFrame:
-    return stats.stats_by_size(ngram_partial_compaction(spark, sf), exact=True)
+    return stats.stats_by_size(ngram_partial_compaction(spark, sf), exact=True, summed=True)
 
 
 @query(f"WITH {_PARTIAL} SELECT * FROM counts ORDER BY count DESC, lang, corpus, text, n, norm_key LIMIT 20")

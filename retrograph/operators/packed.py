@@ -25,9 +25,9 @@ from ..plans.policies import NgramPolicy
 from ..sources import scratch
 
 #: Words whose n-grams a mapper sums up at a time, and sums that a reducer holds at a time.
-FLUSH, HELD = 1_500_000, 3_000_000
+FLUSH, HELD = 500_000, 1_500_000
 #: Bytes of input for a bucket.
-BUCKET_BYTES = 4 << 20
+BUCKET_BYTES = 2 << 20
 COUNTED = "lang string, corpus string, text string, count bigint"
 BLOCK = "bucket int, rows int, size bigint, langs array<string>, corpora array<string>, data binary"
 
